@@ -572,6 +572,48 @@ def table_column_metadata_query(spark, sf_dir):
     return table_column_metadata(_table(spark, sf_dir, "documents"), measure_lengths=True)
 
 
+# ---------------------------------------------------------------- the same reports as SQL over views
+
+NULL_AUDIT = """
+    SELECT * FROM ingestion_table
+    WHERE timestamp IS NULL OR turbine_id IS NULL OR wind_speed IS NULL OR wind_direction IS NULL
+       OR power_output IS NULL OR metadata_datetime_created IS NULL
+"""
+
+
+@query(f"WITH ingestion_table AS ({TYPED_SQL}) {NULL_AUDIT}")
+def sql_null_audit(spark, sf_dir):
+    cast_cleansed_schema(_typed(spark, sf_dir), READING_SCHEMA).createOrReplaceTempView("ingestion_table")
+    return unzoned(spark.sql(NULL_AUDIT))
+
+
+MIN_MAX = """
+    SELECT min(wind_speed) AS min_wind_speed, max(wind_speed) AS max_wind_speed,
+           min(wind_direction) AS min_wind_direction, max(wind_direction) AS max_wind_direction,
+           min(power_output) AS min_power_output, max(power_output) AS max_power_output
+    FROM cleansed_table
+"""
+
+
+@query(f"WITH cleansed_table AS (SELECT DISTINCT * FROM ({TYPED_SQL}) WHERE {VALID_SQL}) {MIN_MAX}")
+def sql_min_max(spark, sf_dir):
+    cleansed_layer_transform(_typed(spark, sf_dir)).createOrReplaceTempView("cleansed_table")
+    return spark.sql(MIN_MAX)
+
+
+ANOMALOUS_DAYS = """
+    SELECT turbine_id, count(date) AS anomalous_days
+    FROM curated_table WHERE anomalous_power_output = TRUE
+    GROUP BY turbine_id ORDER BY anomalous_days DESC, turbine_id
+"""
+
+
+@query(f"WITH curated_table AS ({CURATED_EVENTS_SQL}) {ANOMALOUS_DAYS}")
+def sql_anomalous_days(spark, sf_dir):
+    curated_layer_transform(_event_readings(spark, sf_dir)).createOrReplaceTempView("curated_table")
+    return spark.sql(ANOMALOUS_DAYS)
+
+
 # ---------------------------------------------------------------- from source to sink
 
 PERIOD = {"filter_column": "timestamp", "start_date": "2024-01-03", "end_date": "2024-01-28"}

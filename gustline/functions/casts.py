@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BLANK = r"[\x00-\x20\x7F]*"
-_WHOLE = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
-_FRACTION = rf"^{_BLANK}([+-]?[0-9]*)\.[0-9]*{_BLANK}$"
+_WITH_DIGITS = rf"^{_BLANK}[+-]?[0-9]+(\.[0-9]*)?{_BLANK}$"
+_FRACTION_ONLY = rf"^{_BLANK}[+-]?\.[0-9]*{_BLANK}$"
 
 
 def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -27,8 +27,7 @@ def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Colu
 def _text_to_integer(column: Column, target: T.DataType) -> Column:
     # The patterns decide first: a failing string-to-int try_cast raises and swallows an
     # exception per row, which made a column with 30 % junk ten times slower.
-    before_point = F.regexp_extract(column, _FRACTION, 1)
-    truncated = F.when(before_point.isin("", "+", "-"), F.lit(0).cast(target)).otherwise(
-        before_point.try_cast(target)
+    whole_part = F.substring_index(column, ".", 1).try_cast(target)
+    return F.when(column.rlike(_WITH_DIGITS), whole_part).when(
+        column.rlike(_FRACTION_ONLY), F.lit(0).cast(target)
     )
-    return F.when(column.rlike(_WHOLE), column.try_cast(target)).when(column.rlike(_FRACTION), truncated)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions import any_null, holds, quoted
+from gustline.functions import all_not_null, any_null, holds, quoted
 from gustline.operators.schema import require_columns
 
 
@@ -107,40 +107,35 @@ def constraint_violations(
     """Rows that a table with these constraints would have refused.
 
     Result: ``constraint``, ``columns``, ``violating_rows``. A primary key counts the surplus
-    rows of each repeated key and implies NOT NULL on its columns. All constraints share one
-    scan; the key check is a count per key, combined in the map tasks, so a hot key is cheap.
+    rows of each repeated key and implies NOT NULL on its columns. The null counts take a scan
+    without a shuffle. The key check shuffles nothing but keys with their counts, combined in
+    the map tasks, so a hot key is cheap.
     """
     required = list(dict.fromkeys([*primary_key, *not_null]))
-    require_columns(df, required)
-    empty = {name: f"null_{i}" for i, name in enumerate(required)}
-    nulls = [F.count_if(quoted(name).isNull()).alias(alias) for name, alias in empty.items()]
-    checks = [("NOT NULL", name, empty[name]) for name in required]
-    if primary_key:
-        checks.insert(0, ("PRIMARY KEY", ", ".join(primary_key), "surplus"))
-        keyed = df.select(
-            any_null(primary_key).alias("incomplete"),
-            *(quoted(name).alias(f"key_{i}") for i, name in enumerate(primary_key)),
-            *(quoted(name).isNull().alias(alias) for name, alias in empty.items()),
-        )
-        per_key = keyed.groupBy("incomplete", *(f"key_{i}" for i in range(len(primary_key)))).agg(
-            F.count(F.lit(1)).alias("copies"),
-            *(F.count_if(F.col(alias)).alias(alias) for alias in empty.values()),
-        )
-        surplus = F.when(~F.col("incomplete"), F.col("copies") - 1)
-        totals = per_key.agg(
-            F.coalesce(F.sum(surplus), F.lit(0)).alias("surplus"),
-            *(F.coalesce(F.sum(alias), F.lit(0)).alias(alias) for alias in empty.values()),
-        )
-    elif nulls:
-        totals = df.agg(*nulls)
-    else:
+    if not required:
         raise ValueError("No constraint to check")
-    report = [
-        F.struct(
+    require_columns(df, required)
+
+    def entry(kind: str, columns: str, violations: Column) -> Column:
+        return F.struct(
             F.lit(kind).alias("constraint"),
             F.lit(columns).alias("columns"),
-            F.col(alias).alias("violating_rows"),
+            violations.alias("violating_rows"),
         )
-        for kind, columns, alias in checks
-    ]
-    return totals.select(F.inline(F.array(*report)))
+
+    nulls = df.agg(*(F.count_if(quoted(name).isNull()).alias(f"null_{i}") for i, name in enumerate(required)))
+    report = nulls.select(
+        F.inline(F.array(*(entry("NOT NULL", name, F.col(f"null_{i}")) for i, name in enumerate(required))))
+    )
+    if not primary_key:
+        return report
+    copies = (
+        df.filter(all_not_null(primary_key))
+        .groupBy(*(quoted(name).alias(f"key_{i}") for i, name in enumerate(primary_key)))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
+    key_report = copies.agg(surplus.alias("surplus")).select(
+        F.inline(F.array(entry("PRIMARY KEY", ", ".join(primary_key), F.col("surplus"))))
+    )
+    return key_report.union(report)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import partial
 from typing import Any
 
@@ -61,6 +61,11 @@ class LayerTables:
     def read(self, spark: SparkSession, layer: str) -> DataFrame:
         return Reader.get_reader(getattr(self, layer)).extract(spark)
 
+    def create_views(self, spark: SparkSession) -> None:
+        """Temporary views ``ingestion_table``, ``cleansed_table`` and so on, for SQL."""
+        for layer in fields(self):
+            self.read(spark, layer.name).createOrReplaceTempView(f"{layer.name}_table")
+
 
 def parquet_tables(root: str, mode: str = "append") -> LayerTables:
     """The four tables as Parquet folders below ``root``."""

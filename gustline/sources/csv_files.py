@@ -4,25 +4,25 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote
+from typing import TYPE_CHECKING
 
-import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_HEADER_CHUNK = 64 * 1024
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 
 def get_all_csv_files(spark: SparkSession, directory: str) -> DataFrame:
     """The ``*.csv`` files directly inside a directory, as one row each (``path``, ``length``).
 
-    Spark lists them and opens none. ``FileNotFoundError`` if there is no such file.
+    Spark lists them, leaves out empty ones and opens none. ``FileNotFoundError`` if none is left.
     """
     try:
         listing = (
@@ -38,29 +38,42 @@ def get_all_csv_files(spark: SparkSession, directory: str) -> DataFrame:
     return listing
 
 
-def _first_line(path: str) -> str:
-    if path.startswith("file:"):
-        filesystem, name = pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    else:
-        filesystem, name = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        name = unquote(name)
-    chunks: list[bytes] = []
-    with filesystem.open_input_stream(name) as stream:
-        while chunk := stream.read(_HEADER_CHUNK):
-            chunks.append(chunk)
-            if b"\n" in chunk or b"\r" in chunk:
-                break
-    lines = b"".join(chunks).decode("utf-8-sig", errors="replace").splitlines()
-    return lines[0] if lines else ""
+def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # Everything the tasks need lives inside, so the executors need not have this package.
+    import pyarrow as pa
+    from pyarrow import fs
 
+    chunk_size = 64 * 1024
 
-def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"path": batch["path"], "header": [_first_line(path) for path in batch["path"]]})
+    def first_line(path: str) -> str:
+        if path.startswith("file:"):
+            filesystem, name = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+        else:
+            filesystem, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        start = b""
+        with filesystem.open_input_stream(name) as stream:
+            while chunk := stream.read(chunk_size):
+                start += chunk
+                if b"\n" in chunk or b"\r" in chunk:
+                    break
+        lines = start.decode("utf-8-sig", errors="replace").splitlines()
+        return lines[0] if lines else ""
+
+    def read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            yield pa.RecordBatch.from_pydict({"path": paths, "header": list(map(first_line, paths))})
+
+    return read_headers
 
 
 def _columns(header: str) -> list[str]:
-    return [name.strip() for name in next(csv.reader(io.StringIO(header)), [])]
+    return next(csv.reader(io.StringIO(header)), [])
+
+
+def _literal(path: str) -> str:
+    """The path with its glob characters escaped: Spark reads every path as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def _scan(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
@@ -106,16 +119,13 @@ def read_csv_directory(
     if columns is not None:
         return scan(directory, columns)
 
-    # One short line per file. An empty file has no header and no rows.
-    headers = files.filter("length > 0").mapInPandas(_peek, "path string, header string")
+    headers = files.mapInArrow(_header_reader(), "path string, header string")
     distinct = [row.header for row in headers.select("header").distinct().collect()]
-    if not distinct:
-        raise ValueError(f"Every CSV file in {directory} is empty")
     if len(distinct) == 1:
         return scan(directory, _columns(distinct[0]))
     # Spark's file index keeps the paths of a scan on the driver in any case.
     by_header = defaultdict(list)
     for row in headers.collect():
         by_header[tuple(_columns(row.header))].append(row.path)
-    scans = [scan(sorted(paths), names) for names, paths in sorted(by_header.items())]
+    scans = [scan(list(map(_literal, sorted(paths))), names) for names, paths in sorted(by_header.items())]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
