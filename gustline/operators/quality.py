@@ -48,7 +48,7 @@ def validation_statistics(
     df: DataFrame,
     condition: Column,
     keys: Sequence[str] | None = None,
-    deduplicated: DataFrame | None = None,
+    deduplicated: DataFrame | int | None = None,
 ) -> DataFrame:
     """Rows entering, removed by and leaving the filter and the de-duplication.
 
@@ -58,7 +58,7 @@ def validation_statistics(
     distinct valid row and task; all invalid rows share one record. The counts are an ordinary
     aggregate, so a lost executor cannot count a row twice. ``keys`` are those of the
     de-duplication (default: the whole row). If the de-duplicated rows are already a written
-    table, pass it: then no row is shuffled at all.
+    table, or their number is known, pass that: then no row is shuffled at all.
     """
     valid = holds(condition)
     if deduplicated is None:
@@ -72,6 +72,12 @@ def validation_statistics(
             F.coalesce(F.sum(F.when(F.col("valid"), F.col("copies"))), F.lit(0)).alias("kept"),
             F.count_if(F.col("valid")).alias("unique"),
         )
+    elif isinstance(deduplicated, int):
+        totals = df.agg(
+            F.count(F.lit(1)).alias("seen"),
+            F.count_if(valid).alias("kept"),
+            F.lit(deduplicated).cast("bigint").alias("unique"),
+        )
     else:
         counted = df.agg(
             F.count(F.lit(1)).alias("seen"), F.count_if(valid).alias("kept"), F.lit(0).alias("unique")
@@ -79,9 +85,7 @@ def validation_statistics(
         written = deduplicated.agg(
             F.lit(0).alias("seen"), F.lit(0).alias("kept"), F.count(F.lit(1)).alias("unique")
         )
-        totals = counted.union(written).agg(
-            *(F.sum(name).alias(name) for name in ("seen", "kept", "unique"))
-        )
+        totals = counted.union(written).agg(*(F.sum(name).alias(name) for name in counted.columns))
 
     def step(name: str, rows_in: str, rows_out: str) -> Column:
         return F.struct(

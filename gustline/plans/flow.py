@@ -9,7 +9,8 @@ from functools import partial
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from gustline.defaults import AUDIT, DEFAULT_RULES, EVENT_TIME, READING_SCHEMA
 from gustline.operators import filter_ingestion_period
@@ -103,12 +104,15 @@ def run_layers(
     ingested = ingestion_layer_transform(period(raw), schema, audit_time=audit_time)
     Writer.get_writer(tables.ingestion).load(ingested)
 
+    cleansed_sink = Writer.get_writer(tables.cleansed)
+    written = Observation()
+
     def cleanse() -> None:
         readings = period(tables.read(spark, "ingestion"))
         rows = cleansed_layer_transform(
             readings, schema, dynamic, rules, dedupe_keys, latest_by=AUDIT if dedupe_keys else None
         )
-        Writer.get_writer(tables.cleansed).load(rows)
+        cleansed_sink.load(rows.observe(written, F.count(F.lit(1)).alias("rows")))
 
     def quarantine() -> None:
         readings = period(tables.read(spark, "ingestion"))
@@ -123,16 +127,12 @@ def run_layers(
 
     cleansed = period(tables.read(spark, "cleansed"))
     Writer.get_writer(tables.curated).load(curated_layer_transform(cleansed))
-    # An appended table also holds the rows of earlier runs, so its count says nothing.
-    sink = Writer.get_writer(tables.cleansed)
-    whole = sink.mode == "overwrite" and not sink.partition_by
+
+    # Rows counted while the write's own tasks produce them are counted once whatever executor is
+    # lost. Ahead of the shuffle of a partitioned write they are not, so count those afresh.
+    unique = None if cleansed_sink.partition_by else written.get.get("rows", 0)
     return cleansing_statistics(
-        period(tables.read(spark, "ingestion")),
-        schema,
-        dynamic,
-        rules,
-        dedupe_keys,
-        cleansed=cleansed if whole else None,
+        period(tables.read(spark, "ingestion")), schema, dynamic, rules, dedupe_keys, cleansed=unique
     )
 
 

@@ -70,9 +70,12 @@ def cleansing_statistics(
     dynamic_conditions: Iterable[str] | None = None,
     rules: Iterable[str] = DEFAULT_RULES,
     dedupe_keys: Sequence[str] | None = None,
-    cleansed: DataFrame | None = None,
+    cleansed: DataFrame | int | None = None,
 ) -> DataFrame:
-    """What each step of the cleansed layer removes; ``cleansed`` is its result, once written."""
+    """What each step of the cleansed layer removes.
+
+    ``cleansed`` is its result, once written, or the number of rows in it.
+    """
     typed, condition = _checked(df, schema, dynamic_conditions, rules)
     return validation_statistics(typed, condition, dedupe_keys, cleansed)
 

@@ -260,6 +260,28 @@ def test_a_failing_layer_fails_the_run(spark, tmp_path):
         run_layers(spark, {"path": str(tmp_path / "raw"), "format": "csv"}, again)
 
 
+def test_nothing_valid(spark, tmp_path):
+    tables = parquet_tables(str(tmp_path / "tables"))
+    stats = run_layers(spark, raw_folder(tmp_path), tables, dynamic_conditions=["power_output > 1e9"])
+    assert stats.collect() == [("filter", 13, 13, 0), ("deduplicate", 0, 0, 0)]
+    assert tables.read(spark, "curated").count() == 0
+
+
+def test_partitioned_layer_tables(spark, tmp_path):
+    tables = parquet_tables(str(tmp_path / "tables"))
+    split = LayerTables(
+        tables.ingestion,
+        {**tables.cleansed, "partition_by": ["turbine_id"]},
+        tables.quarantine,
+        {**tables.curated, "mode": "overwrite", "partition_by": ["date"], "partitionOverwriteMode": "dynamic"},
+    )
+    raw, at = raw_folder(tmp_path), F.lit("2024-02-01 00:00:00").cast("timestamp")
+    for _ in range(2):
+        stats = run_layers(spark, raw, split, audit_time=at)
+    assert stats.collect() == [("filter", 26, 6, 20), ("deduplicate", 20, 11, 9)]
+    assert split.read(spark, "curated").count() == 2
+
+
 def test_empty_raw_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         run_layers(spark, {"format": "csv", "path": str(tmp_path)}, parquet_tables(str(tmp_path / "t")))
