@@ -45,6 +45,7 @@ from gustline.plans import (
     cleansed_layer_transform,
     cleansing_statistics,
     curated_layer_transform,
+    daily_parquet_tables,
     etl,
     ingestion_layer_transform,
     parquet_tables,
@@ -643,10 +644,12 @@ def etl_end_to_end(spark, sf_dir):
     return unzoned(_read(spark, f"{root}/ingestion"))
 
 
-def _run(spark: SparkSession, sf_dir: str) -> tuple[LayerTables, DataFrame]:
+def _run(
+    spark: SparkSession, sf_dir: str, layout: Callable[[str], LayerTables]
+) -> tuple[LayerTables, DataFrame]:
     root = shared_folder(spark, "layers")
     _write_raw_csv(spark, sf_dir, f"{root}/raw")
-    tables = parquet_tables(root)
+    tables = layout(root)
     spec = {"format": "csv", "read_options": {"path": f"{root}/raw"}}
     return tables, run_layers(spark, spec, tables, date_filter=PERIOD, audit_time=_audit_time())
 
@@ -669,7 +672,7 @@ FLOW_SQL = f"""
 @query(f"{FLOW_SQL} SELECT * FROM curated")
 def full_flow(spark, sf_dir):
     """CSV files through all four layer tables; the curated table."""
-    tables, _ = _run(spark, sf_dir)
+    tables, _ = _run(spark, sf_dir, parquet_tables)
     return rounded(tables.read(spark, "curated"), "mean_power_output")
 
 
@@ -685,6 +688,6 @@ def full_flow(spark, sf_dir):
     """
 )
 def full_flow_statistics(spark, sf_dir):
-    """CSV files through all four layer tables; what cleansing removed."""
-    _, statistics = _run(spark, sf_dir)
+    """CSV files through layer tables partitioned by day; what cleansing removed."""
+    _, statistics = _run(spark, sf_dir, daily_parquet_tables)
     return statistics

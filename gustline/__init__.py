@@ -7,6 +7,7 @@ from gustline.plans import (
     cleansed_layer_transform,
     cleansing_statistics,
     curated_layer_transform,
+    daily_parquet_tables,
     etl,
     ingestion_layer_transform,
     parquet_tables,

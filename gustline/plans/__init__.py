@@ -1,4 +1,4 @@
-from gustline.plans.flow import LayerTables, etl, parquet_tables, run_layers
+from gustline.plans.flow import LayerTables, daily_parquet_tables, etl, parquet_tables, run_layers
 from gustline.plans.layers import (
     cleansed_layer_transform,
     cleansing_statistics,
@@ -13,6 +13,7 @@ __all__ = [
     "cleansed_layer_transform",
     "cleansing_statistics",
     "curated_layer_transform",
+    "daily_parquet_tables",
     "etl",
     "ingestion_layer_transform",
     "parquet_tables",

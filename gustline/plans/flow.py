@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
-from functools import partial
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from gustline.defaults import AUDIT, DEFAULT_RULES, EVENT_TIME, READING_SCHEMA
-from gustline.operators import filter_ingestion_period
+from gustline.operators import filter_ingestion_period, with_date
 from gustline.plans.layers import (
     cleansed_layer_transform,
     cleansing_statistics,
@@ -52,20 +50,41 @@ def etl(
 
 @dataclass(frozen=True)
 class LayerTables:
-    """The tables of the four layers, each a spec that serves as source and as sink."""
+    """The tables of the four layers, each a spec that serves as source and as sink.
+
+    ``day_column`` names an extra column for the tables of readings: the day of the event time,
+    to partition them by. A period is then a choice of partitions.
+    """
 
     ingestion: Spec
     cleansed: Spec
     quarantine: Spec
     curated: Spec
+    day_column: str | None = None
 
     def read(self, spark: SparkSession, layer: str) -> DataFrame:
-        return Reader.get_reader(getattr(self, layer)).extract(spark)
+        """A layer's rows, without the day they are stored under."""
+        rows = Reader.get_reader(getattr(self, layer)).extract(spark)
+        return rows.drop(self.day_column) if self.day_column else rows
+
+    def readings(self, spark: SparkSession, layer: str, date_filter: Spec | None) -> DataFrame:
+        """A layer's readings of one period."""
+        if not self.day_column:
+            return _within_period(self.read(spark, layer), date_filter, EVENT_TIME)
+        rows = Reader.get_reader(getattr(self, layer)).extract(spark)
+        if date_filter and date_filter.get("filter_column", EVENT_TIME) == EVENT_TIME:
+            date_filter = {**date_filter, "filter_column": self.day_column}
+        return _within_period(rows, date_filter, self.day_column).drop(self.day_column)
+
+    def write_readings(self, layer: str, rows: DataFrame, counted: Observation | None = None) -> None:
+        """Write a layer's readings, with their day if the tables are partitioned by it."""
+        stored = with_date(rows, name=self.day_column) if self.day_column else rows
+        Writer.get_writer(getattr(self, layer)).load(stored, counted)
 
     def create_views(self, spark: SparkSession) -> None:
         """Temporary views ``ingestion_table``, ``cleansed_table`` and so on, for SQL."""
-        for layer in fields(self):
-            self.read(spark, layer.name).createOrReplaceTempView(f"{layer.name}_table")
+        for layer in ("ingestion", "cleansed", "quarantine", "curated"):
+            self.read(spark, layer).createOrReplaceTempView(f"{layer}_table")
 
 
 def parquet_tables(root: str, mode: str = "append") -> LayerTables:
@@ -74,6 +93,20 @@ def parquet_tables(root: str, mode: str = "append") -> LayerTables:
     return LayerTables(*({"format": "parquet", "path": f"{root}/{name}", "mode": mode} for name in names))
 
 
+def daily_parquet_tables(root: str, day_column: str = "day") -> LayerTables:
+    """Parquet folders partitioned by day, in which a run replaces the days it produces.
+
+    Running a period again gives the same tables, provided the raw files still hold its days.
+    """
+    replacing = {"format": "parquet", "mode": "overwrite", "partitionOverwriteMode": "dynamic"}
+    readings = (
+        {**replacing, "path": f"{root}/{name}", "partition_by": [day_column]}
+        for name in ("ingestion", "cleansed", "quarantine")
+    )
+    curated = {**replacing, "path": f"{root}/curated", "partition_by": ["date"]}
+    return LayerTables(*readings, curated, day_column)
+
+
 def run_layers(
     spark: SparkSession,
     raw: Spec | DataFrame,
@@ -99,45 +132,41 @@ def run_layers(
     rules, dynamic = list(rules), list(dynamic_conditions or ())
     if not isinstance(raw, DataFrame):
         raw = _raw_rows(spark, raw, [name for name in schema if name != AUDIT])
-    period = partial(_within_period, date_filter=date_filter, default_column=EVENT_TIME)
-
-    ingested = ingestion_layer_transform(period(raw), schema, audit_time=audit_time)
-    Writer.get_writer(tables.ingestion).load(ingested)
 
-    cleansed_sink = Writer.get_writer(tables.cleansed)
+    delivered = _within_period(raw, date_filter, EVENT_TIME)
+    tables.write_readings("ingestion", ingestion_layer_transform(delivered, schema, audit_time=audit_time))
     written = Observation()
 
     def cleanse() -> None:
-        readings = period(tables.read(spark, "ingestion"))
-        rows = cleansed_layer_transform(
-            readings, schema, dynamic, rules, dedupe_keys, latest_by=AUDIT if dedupe_keys else None
-        )
-        cleansed_sink.load(rows.observe(written, F.count(F.lit(1)).alias("rows")))
+        ingested = tables.readings(spark, "ingestion", date_filter)
+        latest_by = AUDIT if dedupe_keys else None
+        valid = cleansed_layer_transform(ingested, schema, dynamic, rules, dedupe_keys, latest_by)
+        tables.write_readings("cleansed", valid, written)
 
     def quarantine() -> None:
-        readings = period(tables.read(spark, "ingestion"))
-        Writer.get_writer(tables.quarantine).load(
-            quarantine_layer_transform(readings, schema, dynamic, rules)
-        )
+        ingested = tables.readings(spark, "ingestion", date_filter)
+        tables.write_readings("quarantine", quarantine_layer_transform(ingested, schema, dynamic, rules))
 
     with ThreadPoolExecutor(max_workers=2) as both:
         jobs = [both.submit(inheritable_thread_target(spark)(step)) for step in (cleanse, quarantine)]
         for job in jobs:
             job.result()
 
-    cleansed = period(tables.read(spark, "cleansed"))
+    cleansed = tables.readings(spark, "cleansed", date_filter)
     Writer.get_writer(tables.curated).load(curated_layer_transform(cleansed))
-
-    # Rows counted while the write's own tasks produce them are counted once whatever executor is
-    # lost. Ahead of the shuffle of a partitioned write they are not, so count those afresh.
-    unique = None if cleansed_sink.partition_by else written.get.get("rows", 0)
     return cleansing_statistics(
-        period(tables.read(spark, "ingestion")), schema, dynamic, rules, dedupe_keys, cleansed=unique
+        tables.readings(spark, "ingestion", date_filter),
+        schema,
+        dynamic,
+        rules,
+        cleansed=written.get.get("rows", 0),
     )
 
 
 def _raw_rows(spark: SparkSession, spec: Spec, required: list[str]) -> DataFrame:
     reader = Reader.get_reader(spec)
     if reader.format == "csv":
-        return read_csv_directory(spark, reader.options["path"], required=required)
+        return read_csv_directory(
+            spark, reader.options["path"], required=required, options=reader.options
+        )
     return reader.extract(spark)

@@ -6,9 +6,9 @@ import csv
 import io
 import re
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
-from typing import TYPE_CHECKING
+from typing import TYPE_CHECKING, Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +19,23 @@ if TYPE_CHECKING:
     import pyarrow as pa
 
 
-def get_all_csv_files(spark: SparkSession, directory: str) -> DataFrame:
+# Options that decide which files belong to a source.
+_LISTING_OPTIONS = ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "modifiedBefore")
+
+
+def get_all_csv_files(
+    spark: SparkSession, directory: str, options: Mapping[str, Any] | None = None
+) -> DataFrame:
     """The ``*.csv`` files directly inside a directory, as one row each (``path``, ``length``).
 
     Spark lists them, leaves out empty ones and opens none. ``FileNotFoundError`` if none is left.
+    ``options`` may narrow or widen the choice (``modifiedAfter``, ``recursiveFileLookup``, ...).
     """
+    chosen = {"pathGlobFilter": "*.csv", **(options or {})}
     try:
         listing = (
             spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
+            .options(**{key: chosen[key] for key in _LISTING_OPTIONS if key in chosen})
             .load(directory)
             .select("path", "length")
         )
@@ -38,7 +46,7 @@ def get_all_csv_files(spark: SparkSession, directory: str) -> DataFrame:
     return listing
 
 
-def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _header_reader(encoding: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     # Everything the tasks need lives inside, so the executors need not have this package.
     import pyarrow as pa
     from pyarrow import fs
@@ -56,7 +64,7 @@ def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 start += chunk
                 if b"\n" in chunk or b"\r" in chunk:
                     break
-        lines = start.decode("utf-8-sig", errors="replace").splitlines()
+        lines = start.decode(encoding, errors="replace").removeprefix("\ufeff").splitlines()
         return lines[0] if lines else ""
 
     def read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +75,10 @@ def _header_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return read_headers
 
 
-def _columns(header: str) -> list[str]:
-    return next(csv.reader(io.StringIO(header)), [])
+def _columns(header: str, options: Mapping[str, Any]) -> list[str]:
+    separator = options.get("sep", options.get("delimiter", ","))
+    quote = options.get("quote") or '"'
+    return next(csv.reader(io.StringIO(header), delimiter=separator, quotechar=quote), [])
 
 
 def _literal(path: str) -> str:
@@ -76,14 +86,14 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _scan(spark: SparkSession, paths: str | list[str], columns: Sequence[str]) -> DataFrame:
+def _scan(
+    spark: SparkSession, paths: str | list[str], columns: Sequence[str], options: Mapping[str, Any]
+) -> DataFrame:
     """One scan of files that share a header; a file with another header fails the query."""
     return (
         spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
+        .options(**{"mode": "PERMISSIVE", "pathGlobFilter": "*.csv", **options})
+        .options(header=True, enforceSchema=False)
         .csv(paths)
     )
 
@@ -94,6 +104,7 @@ def read_csv_directory(
     required: Iterable[str] = (),
     columns: Sequence[str] | None = None,
     file_column: str | None = None,
+    options: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """All CSV files of a directory as text columns, bound by header name.
 
@@ -105,27 +116,32 @@ def read_csv_directory(
 
     ``columns`` states the one header all files have and skips the look at the headers; Spark
     then refuses any file that differs while it reads. ``file_column`` names a column to hold
-    each row's file name.
+    each row's file name. ``options`` are Spark's CSV options (separator, encoding,
+    ``modifiedAfter`` to skip files without new rows, ...).
     """
-    files = get_all_csv_files(spark, directory)
+    options = {key: value for key, value in (options or {}).items() if key != "path"}
+    if str(options.get("header", "true")).lower() != "true":
+        raise ValueError("Files without a header line cannot be bound by name")
+    files = get_all_csv_files(spark, directory, options)
 
     def scan(paths: str | list[str], names: Sequence[str]) -> DataFrame:
         absent = [name for name in required if name not in names]
         if absent:
             raise ValueError(f"Columns missing from a CSV header in {directory}: {absent}")
-        rows = _scan(spark, paths, names)
+        rows = _scan(spark, paths, names, options)
         return rows.select("*", F.col("_metadata.file_name").alias(file_column)) if file_column else rows
 
     if columns is not None:
         return scan(directory, columns)
 
-    headers = files.mapInArrow(_header_reader(), "path string, header string")
+    encoding = options.get("encoding", options.get("charset", "utf-8"))
+    headers = files.mapInArrow(_header_reader(encoding), "path string, header string")
     distinct = [row.header for row in headers.select("header").distinct().collect()]
     if len(distinct) == 1:
-        return scan(directory, _columns(distinct[0]))
+        return scan(directory, _columns(distinct[0], options))
     # Spark's file index keeps the paths of a scan on the driver in any case.
     by_header = defaultdict(list)
     for row in headers.collect():
-        by_header[tuple(_columns(row.header))].append(row.path)
+        by_header[tuple(_columns(row.header, options))].append(row.path)
     scans = [scan(list(map(_literal, sorted(paths))), names) for names, paths in sorted(by_header.items())]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)

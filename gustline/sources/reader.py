@@ -14,7 +14,7 @@ from gustline.operators.schema import schema_drift_report
 
 # Keys of a flat spec that describe the dataset and are no source options.
 DESCRIPTION_KEYS = frozenset(
-    {"format", "schema", "table", "options", "read_options", "write_options", "partition_by"}
+    {"format", "schema", "table", "options", "read_options", "write_options", "partition_by", "rebalance"}
 )
 # Fixed values: "mode" in a flat spec is a CSV parse mode only with one of these values.
 PARSE_MODES = frozenset({"PERMISSIVE", "DROPMALFORMED", "FAILFAST"})
@@ -29,6 +29,11 @@ def flat_options(spec: Mapping[str, Any]) -> dict[str, Any]:
     }
 
 
+def given(options: Mapping[str, Any]) -> dict[str, Any]:
+    """The options that have a value."""
+    return {key: value for key, value in options.items() if value is not None}
+
+
 def _format_of(path: str) -> str:
     extension = os.path.splitext(path.rstrip("/"))[1]
     if not extension:
@@ -71,7 +76,7 @@ class Reader:
         session = spark or SparkSession.getActiveSession()
         if session is None:
             raise RuntimeError("No active SparkSession")
-        source = session.read.format(self.format).options(**self.options)
+        source = session.read.format(self.format).options(**given(self.options))
         if self.schema is not None:
             source = source.schema(self.schema)
         return source.load()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gustline.defaults import RAW_COLUMNS
-from gustline.plans import LayerTables, etl, parquet_tables, run_layers, shared_folder
+from gustline.plans import LayerTables, daily_parquet_tables, etl, parquet_tables, run_layers, shared_folder
 from gustline.sinks import Writer
 from gustline.sources import (
     Reader,
@@ -110,6 +110,12 @@ def test_jdbc_options_errors():
         partitioned_read("id", 0, 10, 0)
 
 
+def test_options_without_a_value_are_left_out(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert Reader("parquet", {"path": str(tmp_path / "t"), "mergeSchema": None}).extract(spark).count() == 3
+    Writer("parquet", {"path": str(tmp_path / "u"), "compression": None}).load(spark.range(1))
+
+
 def test_schema_is_enforced_and_drift_reported(spark, tmp_path):
     folder = str(tmp_path / "t.parquet")
     spark.sql("SELECT 1 AS a, 'x' AS b").write.parquet(folder)
@@ -267,19 +273,41 @@ def test_nothing_valid(spark, tmp_path):
     assert tables.read(spark, "curated").count() == 0
 
 
-def test_partitioned_layer_tables(spark, tmp_path):
-    tables = parquet_tables(str(tmp_path / "tables"))
-    split = LayerTables(
-        tables.ingestion,
-        {**tables.cleansed, "partition_by": ["turbine_id"]},
-        tables.quarantine,
-        {**tables.curated, "mode": "overwrite", "partition_by": ["date"], "partitionOverwriteMode": "dynamic"},
-    )
-    raw, at = raw_folder(tmp_path), F.lit("2024-02-01 00:00:00").cast("timestamp")
-    for _ in range(2):
-        stats = run_layers(spark, raw, split, audit_time=at)
-    assert stats.collect() == [("filter", 26, 6, 20), ("deduplicate", 20, 11, 9)]
-    assert split.read(spark, "curated").count() == 2
+def test_daily_tables_replace_their_days(spark, tmp_path):
+    tables, raw = daily_parquet_tables(str(tmp_path / "tables")), raw_folder(tmp_path)
+    both, second = ({"start_date": day, "end_date": "2024-01-02"} for day in ("2024-01-01", "2024-01-02"))
+    for period, expected in ((both, (12, 2, 10, 9)), (both, (12, 2, 10, 9)), (second, (1, 0, 1, 1))):
+        seen, removed, kept, unique = expected
+        statistics = run_layers(spark, raw, tables, date_filter=period)
+        assert statistics.collect() == [("filter", seen, removed, kept), ("deduplicate", kept, kept - unique, unique)]
+        counts = [tables.read(spark, name).count() for name in ("ingestion", "cleansed", "quarantine", "curated")]
+        assert counts == [12, 9, 2, 2]
+    assert sorted(os.listdir(tmp_path / "tables" / "cleansed"))[-2:] == ["day=2024-01-01", "day=2024-01-02"]
+    assert "day" not in tables.read(spark, "cleansed").columns
+
+
+def test_daily_tables_read_only_the_days_of_the_period(spark, tmp_path):
+    tables = daily_parquet_tables(str(tmp_path / "tables"))
+    run_layers(spark, raw_folder(tmp_path), tables)
+    assert tables.read(spark, "quarantine").filter("timestamp IS NULL").count() == 1
+    rows = tables.readings(spark, "ingestion", {"start_date": "2024-01-02", "end_date": "2024-01-02"})
+    assert rows.count() == 1
+    partition_filter = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in partition_filter
+    kept = tables.readings(spark, "ingestion", {"end_date": "2024-01-02", "keep_unparseable": True})
+    assert kept.count() == 2
+
+
+def test_csv_options(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("naïve;b\n1;'2;3'\n", encoding="latin-1")
+    (tmp_path / "b.csv").write_text("b;naïve\n4;5\n", encoding="latin-1")
+    options = {"sep": ";", "quote": "'", "encoding": "iso-8859-1", "header": "true", "path": "ignored"}
+    rows = read_csv_directory(spark, str(tmp_path), options=options)
+    assert sorted(rows.select("naïve", "b").collect()) == [("1", "2;3"), ("5", "4")]
+    with pytest.raises(ValueError):
+        read_csv_directory(spark, str(tmp_path), options={"header": "false"})
+    with pytest.raises(FileNotFoundError):
+        read_csv_directory(spark, str(tmp_path), options={"modifiedAfter": "2999-01-01T00:00:00"})
 
 
 def test_empty_raw_folder(spark, tmp_path):
