@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 # Fixed value: the injected time of the run, so that results can be compared.
 AUDIT_TIME = "2024-02-01 00:00:00"
 
-RAW_ORDER = ["timestamp", "turbine_id", "wind_speed", "wind_direction", "power_output"]
-
 READINGS_SQL = """
     SELECT user_id AS turbine_id,
            ts AS timestamp,

@@ -135,16 +135,16 @@ def run_layers(
 
     delivered = _within_period(raw, date_filter, EVENT_TIME)
     tables.write_readings("ingestion", ingestion_layer_transform(delivered, schema, audit_time=audit_time))
+    # One frame for both splits and the statistics: the table's files are listed once.
+    ingested = tables.readings(spark, "ingestion", date_filter)
     written = Observation()
 
     def cleanse() -> None:
-        ingested = tables.readings(spark, "ingestion", date_filter)
         latest_by = AUDIT if dedupe_keys else None
         valid = cleansed_layer_transform(ingested, schema, dynamic, rules, dedupe_keys, latest_by)
         tables.write_readings("cleansed", valid, written)
 
     def quarantine() -> None:
-        ingested = tables.readings(spark, "ingestion", date_filter)
         tables.write_readings("quarantine", quarantine_layer_transform(ingested, schema, dynamic, rules))
 
     with ThreadPoolExecutor(max_workers=2) as both:
@@ -154,13 +154,9 @@ def run_layers(
 
     cleansed = tables.readings(spark, "cleansed", date_filter)
     Writer.get_writer(tables.curated).load(curated_layer_transform(cleansed))
-    return cleansing_statistics(
-        tables.readings(spark, "ingestion", date_filter),
-        schema,
-        dynamic,
-        rules,
-        cleansed=written.get.get("rows", 0),
-    )
+
+    unique = written.get["rows"] if Writer.get_writer(tables.cleansed).counts else None
+    return cleansing_statistics(ingested, schema, dynamic, rules, dedupe_keys, unique)
 
 
 def _raw_rows(spark: SparkSession, spec: Spec, required: list[str]) -> DataFrame:

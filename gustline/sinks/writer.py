@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from gustline.sources.reader import flat_options, given
 
 
+# Formats whose writing tasks report observed counts; a JDBC write never would.
+FILE_FORMATS = frozenset({"parquet", "orc", "csv", "json", "text", "avro"})
+
+
 @dataclass(frozen=True)
 class Writer:
     """Any Spark sink: a format, its options, a save mode and, for files, partition columns."""
@@ -39,8 +43,13 @@ class Writer:
             spec.get("rebalance", True),
         )
 
+    @property
+    def counts(self) -> bool:
+        """Whether this sink can count the rows it writes."""
+        return self.format in FILE_FORMATS
+
     def load(self, df: DataFrame, counted: Observation | None = None) -> None:
-        """Write the frame; ``counted`` receives the number of ``rows`` written.
+        """Write the frame; ``counted`` receives the number of ``rows`` written to files.
 
         Partitioned tables are rebalanced by their partition columns first: each partition then
         comes from few tasks instead of a file from every task, and adaptive execution cuts an
@@ -52,7 +61,7 @@ class Writer:
         """
         if self.partition_by and self.rebalance:
             df = df.hint("rebalance", *self.partition_by)
-        if counted is not None:
+        if counted is not None and self.counts:
             df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
         sink = df.write.format(self.format).options(**given(self.options)).mode(self.mode)
         if self.partition_by:

@@ -23,17 +23,10 @@ if TYPE_CHECKING:
 _LISTING_OPTIONS = ("pathGlobFilter", "recursiveFileLookup", "modifiedAfter", "modifiedBefore")
 
 
-def get_all_csv_files(
-    spark: SparkSession, directory: str, options: Mapping[str, Any] | None = None
-) -> DataFrame:
-    """The ``*.csv`` files directly inside a directory, as one row each (``path``, ``length``).
-
-    Spark lists them, leaves out empty ones and opens none. ``FileNotFoundError`` if none is left.
-    ``options`` may narrow or widen the choice (``modifiedAfter``, ``recursiveFileLookup``, ...).
-    """
-    chosen = {"pathGlobFilter": "*.csv", **(options or {})}
+def _listing(spark: SparkSession, directory: str, options: Mapping[str, Any]) -> DataFrame:
+    chosen = {"pathGlobFilter": "*.csv", **options}
     try:
-        listing = (
+        return (
             spark.read.format("binaryFile")
             .options(**{key: chosen[key] for key in _LISTING_OPTIONS if key in chosen})
             .load(directory)
@@ -41,9 +34,20 @@ def get_all_csv_files(
         )
     except AnalysisException as error:
         raise FileNotFoundError(f"No directory {directory}") from error
-    if listing.isEmpty():
+
+
+def get_all_csv_files(
+    spark: SparkSession, directory: str, options: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """The ``*.csv`` files directly inside a directory, as one row each (``path``, ``length``).
+
+    Spark lists them, leaves out empty ones and opens none. ``FileNotFoundError`` if none is left.
+    ``options`` may narrow or widen the choice (``modifiedAfter``, ``recursiveFileLookup``, ...).
+    """
+    files = _listing(spark, directory, options or {})
+    if files.isEmpty():
         raise FileNotFoundError(f"No CSV file in {directory}")
-    return listing
+    return files
 
 
 def _header_reader(encoding: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -122,7 +126,6 @@ def read_csv_directory(
     options = {key: value for key, value in (options or {}).items() if key != "path"}
     if str(options.get("header", "true")).lower() != "true":
         raise ValueError("Files without a header line cannot be bound by name")
-    files = get_all_csv_files(spark, directory, options)
 
     def scan(paths: str | list[str], names: Sequence[str]) -> DataFrame:
         absent = [name for name in required if name not in names]
@@ -132,11 +135,14 @@ def read_csv_directory(
         return rows.select("*", F.col("_metadata.file_name").alias(file_column)) if file_column else rows
 
     if columns is not None:
+        get_all_csv_files(spark, directory, options)
         return scan(directory, columns)
 
     encoding = options.get("encoding", options.get("charset", "utf-8"))
-    headers = files.mapInArrow(_header_reader(encoding), "path string, header string")
+    headers = _listing(spark, directory, options).mapInArrow(_header_reader(encoding), "path string, header string")
     distinct = [row.header for row in headers.select("header").distinct().collect()]
+    if not distinct:
+        raise FileNotFoundError(f"No CSV file in {directory}")
     if len(distinct) == 1:
         return scan(directory, _columns(distinct[0], options))
     # Spark's file index keeps the paths of a scan on the driver in any case.

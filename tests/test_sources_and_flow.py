@@ -266,9 +266,16 @@ def test_a_failing_layer_fails_the_run(spark, tmp_path):
         run_layers(spark, {"path": str(tmp_path / "raw"), "format": "csv"}, again)
 
 
-def test_nothing_valid(spark, tmp_path):
+def test_statistics_where_the_sink_cannot_count(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gustline.sinks.writer.FILE_FORMATS", frozenset())
+    stats = run_layers(spark, raw_folder(tmp_path), parquet_tables(str(tmp_path / "tables")))
+    assert stats.collect() == [("filter", 13, 3, 10), ("deduplicate", 10, 1, 9)]
+
+
+@pytest.mark.parametrize("impossible", ["power_output > 1e9", "1 = 0"])
+def test_nothing_valid(spark, tmp_path, impossible):
     tables = parquet_tables(str(tmp_path / "tables"))
-    stats = run_layers(spark, raw_folder(tmp_path), tables, dynamic_conditions=["power_output > 1e9"])
+    stats = run_layers(spark, raw_folder(tmp_path), tables, dynamic_conditions=[impossible])
     assert stats.collect() == [("filter", 13, 13, 0), ("deduplicate", 0, 0, 0)]
     assert tables.read(spark, "curated").count() == 0
 
