@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from checks.readings import events
 from gustline.functions import get_conditions
-from gustline.operators import drop_duplicate_rows, filter_ingestion_period, keep_valid
+from gustline.operators import (
+    constraint_violations,
+    daily_statistics,
+    drop_duplicate_rows,
+    filter_ingestion_period,
+    keep_valid,
+    validation_statistics,
+)
 from gustline.plans import cleansed_layer_transform, curated_layer_transform, ingestion_layer_transform
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -69,7 +76,41 @@ def test_no_python_cross_join_or_single_partition_shuffle_of_rows(spark, name):
             assert child in text
 
 
-def test_a_hot_copy_is_one_record_per_task_in_the_shuffle(spark):
-    rows = spark.range(0, 80_000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("v"))
-    deduped = drop_duplicate_rows(rows)
-    assert deduped.count() == 80_000 - 80_000 // 3 - 1 + 1
+def shuffled_records(df):
+    """Runs the query and counts the records its shuffles wrote."""
+    df.collect()
+    pending, total = [df._jdf.queryExecution().executedPlan()], 0
+    while pending:
+        node = pending.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            pending.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            pending.append(node.plan())
+            continue
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        pending.extend(children.apply(i) for i in range(children.size()))
+    return total
+
+
+def test_hot_rows_send_one_record_per_task(spark):
+    """A third of all rows are one copy, one turbine-day, or one invalid reading."""
+    hot, tasks, n = F.col("id") % 3 == 0, 8, 80_000
+    others = n - len(range(0, n, 3))
+    rows = spark.range(0, n, 1, tasks).select(F.when(hot, -1).otherwise(F.col("id")).alias("v"))
+    assert shuffled_records(drop_duplicate_rows(rows)) == others + tasks
+
+    readings = spark.range(0, n, 1, tasks).select(
+        F.when(hot, -1).otherwise(F.col("id")).alias("turbine_id"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        F.col("id").cast("double").alias("power_output"),
+    )
+    assert shuffled_records(daily_statistics(readings)) == others + tasks
+    assert shuffled_records(drop_duplicate_rows(readings, ["turbine_id"])) == others + tasks
+    keys = constraint_violations(readings, primary_key=["turbine_id", "timestamp"])
+    assert shuffled_records(keys) <= others + tasks + 3 * tasks
+    valid = validation_statistics(rows, F.expr("v >= 0"))
+    assert shuffled_records(valid) <= others + tasks + tasks

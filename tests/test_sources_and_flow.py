@@ -305,6 +305,13 @@ def test_daily_tables_read_only_the_days_of_the_period(spark, tmp_path):
     assert kept.count() == 2
 
 
+def test_csv_file_or_pattern(spark, tmp_path):
+    for name in ("a1", "a2", "b1"):
+        write(tmp_path / f"{name}.csv", f"id\n{name}\n")
+    assert read_csv_directory(spark, str(tmp_path / "b1.csv")).collect() == [("b1",)]
+    assert read_csv_directory(spark, str(tmp_path / "a*.csv")).count() == 2
+
+
 def test_csv_options(spark, tmp_path):
     (tmp_path / "a.csv").write_text("naïve;b\n1;'2;3'\n", encoding="latin-1")
     (tmp_path / "b.csv").write_text("b;naïve\n4;5\n", encoding="latin-1")
