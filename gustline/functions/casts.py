@@ -35,9 +35,13 @@ def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Colu
 
 
 def _text_to_integer(column: Column, target: T.DataType) -> Column:
+    # Bare digits, the usual case, are told without a pattern.
+    digits_only = (F.ltrim(column, F.lit("0123456789")) == "") & (column != "")
     whole_part = F.substring_index(column, ".", 1).try_cast(target)
-    return F.when(column.rlike(_WITH_DIGITS), whole_part).when(
-        column.rlike(_FRACTION_ONLY), F.lit(0).cast(target)
+    return (
+        F.when(digits_only, column.try_cast(target))
+        .when(column.rlike(_WITH_DIGITS), whole_part)
+        .when(column.rlike(_FRACTION_ONLY), F.lit(0).cast(target))
     )
 
 
