@@ -30,7 +30,7 @@ def filter_ingestion_period(
     day are dropped, or kept for a later quarantine with ``keep_unparseable``.
 
     On a timestamp column Catalyst turns the predicate into a range on the column itself,
-    which reaches Parquet row groups and JDBC sources.
+    which reaches Parquet row groups.
     """
     last = _day(end_date) if end_date else (today or dt.date.today())
     first = _day(start_date) if start_date else last
