@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.llm.language import identify_language
+from gustline.llm.packing import pack_documents
 from gustline.llm.pseudonyms import pseudonymise
 from gustline.llm.secrets import secret_spans
 from gustline.llm.shared import table
@@ -49,3 +50,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_inferred")
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1
+    )
