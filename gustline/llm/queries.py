@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gustline.llm.decontamination import decontaminate
 from gustline.llm.language import identify_language
 from gustline.llm.packing import pack_documents
 from gustline.llm.pseudonyms import pseudonymise
@@ -57,3 +58,41 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1
     )
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_a", "text_b")
+
+
+ORACLES["op4_decontamination"] = r"""
+WITH low AS (
+    SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, coalesce(text, '') AS text FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), item_id, coalesce(text, '') FROM benchmark WHERE item_id IS NOT NULL
+), words AS (
+    SELECT kind, r, id, [x FOR x IN string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
+    FROM low
+), windows AS (
+    SELECT DISTINCT id AS item_id, least(len(w), 10) AS size, list_slice(w, s + 1, s + 10) AS win
+    FROM (SELECT id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM words WHERE kind = 'b' AND len(w) > 0)
+), runs AS (
+    SELECT r, size, s, list_slice(w, s + 1, s + size) AS win
+    FROM (SELECT r, w, size, unnest(range(0, len(w) - size + 1)) AS s
+          FROM words, (SELECT DISTINCT size FROM windows) WHERE kind = 'd' AND len(w) >= size)
+), found AS (
+    SELECT DISTINCT r, s, runs.size AS size, item_id FROM runs JOIN windows USING (size, win)
+), hit AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + size)) AS p FROM found) GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY r
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+WHERE kind = 'd'
+"""
