@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gustline.llm.decontamination import decontaminate
 from gustline.llm.language import identify_language
+from gustline.llm.line_templates import drop_recurring_lines
 from gustline.llm.packing import pack_documents
 from gustline.llm.pseudonyms import pseudonymise
 from gustline.llm.secrets import secret_spans
@@ -96,3 +97,9 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 WHERE kind = 'd'
 """
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_lines", "n_dropped")
