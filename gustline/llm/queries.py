@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.llm.decontamination import decontaminate
+from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import identify_language
 from gustline.llm.line_templates import drop_recurring_lines
 from gustline.llm.packing import pack_documents
@@ -103,3 +104,8 @@ WHERE kind = 'd'
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_recurring_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
