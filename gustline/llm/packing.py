@@ -36,7 +36,8 @@ from gustline.llm.shared import batch_of, documents, slices, worker_cache, writt
 GROUPS = 20  # of large lengths
 PER_BIN = 3  # large pieces are those of which at most so many fit into a sequence
 PER_SALT = 200_000  # pieces
-MEMO = 1 << 19  # words whose ids a worker remembers before it starts afresh
+WORD_END = "</w>"  # fixed value: how the vocabulary marks the last token of a word
+MEMO = 1 << 20  # words whose ids a worker remembers before it starts afresh
 
 Pattern = list[tuple[int, int]]  # length and number of pieces of that length in one sequence
 
@@ -223,23 +224,44 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
-        self.words = re.compile("[^ \n\t\r]+").findall
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # A full stop or comma between a letter and white space is a token of its own.
+        stop = "[.,](?=[ \n\t\r]|$)"
+        self.words = re.compile(rf"[^\W\d_]+(?={stop})|(?<=[^\W\d_]){stop}|[^ \n\t\r]+").findall
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def learn(self, words: list[str]) -> None:
+        """Letters alone make one word of the tokenizer, so many can be encoded at once and told apart again."""
+        plain = [w for w in words if w.lower().isalpha()]
+        for start in range(0, len(plain), 1000):
+            part = plain[start : start + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            self.memo.update((w, data[a:b]) for w, a, b in zip(part, [0, *ends], ends, strict=False))
+            if len(ends) != len(part):
+                self.memo.update(zip(part, self.encoded(part), strict=True))
+        rest = [w for w in words if not w.lower().isalpha()]
+        for start in range(0, len(rest), 10_000):
+            part = rest[start : start + 10_000]
+            self.memo.update(zip(part, self.encoded(part), strict=True))
+
     def of(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
         # Special strings may take white space with them: such a text is encoded as it is.
         whole = [any(s in text for s in self.special) for text in texts]
-        split = [[] if w else self.words(text) for text, w in zip(texts, whole, strict=True)]
-        new = list({word for words in split for word in words if word not in memo})
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            memo.update(zip(part, self.encoded(part), strict=True))
+        split = [
+            [] if w else self.words(text.lower() if text.isascii() else text)
+            for text, w in zip(texts, whole, strict=True)
+        ]
+        self.learn(list(set().union(*split).difference(memo)))
         for text, words, w in zip(texts, split, whole, strict=True):
             yield self.encoded([text])[0] if w else b"".join(map(memo.__getitem__, words))
 
