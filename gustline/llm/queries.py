@@ -12,6 +12,7 @@ from gustline.llm.decontamination import decontaminate
 from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import identify_language
 from gustline.llm.line_templates import drop_recurring_lines
+from gustline.llm.neighbours import nearest_neighbours
 from gustline.llm.packing import pack_documents
 from gustline.llm.pseudonyms import pseudonymise
 from gustline.llm.secrets import secret_spans
@@ -109,3 +110,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+
+
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), queries="vec_id % 20 = 0", k=20)
