@@ -14,6 +14,7 @@ from gustline.llm.language import identify_language
 from gustline.llm.line_templates import drop_recurring_lines
 from gustline.llm.neighbours import nearest_neighbours
 from gustline.llm.packing import pack_documents
+from gustline.llm.passages import repeated_passages
 from gustline.llm.pseudonyms import pseudonymise
 from gustline.llm.secrets import secret_spans
 from gustline.llm.shared import table
@@ -115,3 +116,8 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), queries="vec_id % 20 = 0", k=20)
+
+
+@query
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))

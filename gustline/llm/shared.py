@@ -9,6 +9,7 @@ import types
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
@@ -77,3 +78,27 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         for c, field in zip(columns, schema, strict=True)
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+class KeyFilter:
+    """A set of 64-bit keys in a fixed number of bits: says yes for every key in it, and for few others.
+
+    Its size doesn't depend on the number of keys. With very many keys it lets more pass, which costs
+    time but no correctness, as long as a join follows.
+    """
+
+    def __init__(self, keys: DataFrame, bits: int = 1 << 24):
+        column = keys.columns[0]
+        bit = F.pmod(F.col(column), F.lit(bits))
+        words = (
+            keys.select(bit.alias("bit"))
+            .groupBy(F.shiftright("bit", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+        )
+        self.bits, self.words = bits, np.zeros(bits >> 6, np.int64)
+        for row in words.collect():
+            self.words[row.word] = row.bits
+
+    def passes(self, key: int) -> bool:
+        bit = key % self.bits
+        return bool(int(self.words[bit >> 6]) >> (bit & 63) & 1)
