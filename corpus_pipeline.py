@@ -2,11 +2,64 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gustline.llm.shared import scratch, table
+from gustline.llm.decontamination import decontaminate
+from gustline.llm.jaccard_join import near_duplicates
+from gustline.llm.language import UNKNOWN_LANGUAGE, identify_language
+from gustline.llm.line_templates import drop_recurring_lines
+from gustline.llm.packing import pack_documents
+from gustline.llm.shared import scratch, table, written
 
-STAGES: list = []
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go; every other one has a language."""
+    others = [F.col(c).alias(f"own_{c}") for c in docs.columns]
+    found = identify_language(docs, labelled=docs, keep=others).where(F.col("lang_pred") != UNKNOWN_LANGUAGE)
+    return found.select([F.col(f"own_{c}").alias(c) for c in docs.columns])
+
+
+def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(docs).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the document with the smallest id stays; documents without words stay too.
+
+    Rows without an id belong to no group. Of rows that repeat a document's id and set, one stays.
+    """
+    groups = written(near_duplicates(docs), "groups")
+    # A component's smallest id may be repeated with other texts: of those sets one stays.
+    gone = groups.where("doc_id IS NOT NULL AND n_shingles > 0 AND doc_id <> component_id").select("doc_id")
+    # Ids are unique but for repeated rows; those are told apart below.
+    kept = docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+    repeated = groups.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1")
+    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    once = again.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(docs.columns).union(once)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    keys = found.select("text_a", "text_b").distinct()
+    marked = docs.withColumns({"text_a": F.xxhash64("text"), "text_b": F.xxhash64(F.lit("b"), F.col("text"))})
+    return marked.join(keys, ["text_a", "text_b"], "left_anti").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+STAGES = [
+    ("language", known_language),
+    ("lines", without_recurring_lines),
+    ("near_duplicates", one_of_each_group),
+    ("benchmarks", without_benchmarks),
+    ("packing", packed),
+]
 
 # The stages tokenise, learn and walk automata, which SQL can't express: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
