@@ -16,6 +16,7 @@ repeat id and text count as one document and are changed alike; a null id sorts
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,11 @@ from gustline.llm.shared import slices, written
 
 OPEN_TEMPLATES = 4096
 FIELD = "<*>"
-MASK = str.maketrans("0123456789", "0" * 10)
+has_digit = re.compile("[0-9]").search
 
 
 def masked(tokens: list[str]) -> list[str]:
-    return [FIELD if "0" in t.translate(MASK) else t for t in tokens]
+    return [FIELD if has_digit(t) else t for t in tokens]
 
 
 def signed(value: int) -> int:
@@ -44,7 +45,7 @@ def line_key(line: str, min_tokens: int) -> tuple[list[str], int] | None:
     tokens = line.split()
     if len(tokens) < min_tokens:
         return None
-    if "0" in line.translate(MASK):
+    if has_digit(line):
         tokens = masked(tokens)
     return tokens, signed(xxhash.xxh3_64_intdigest(" ".join(tokens)))
 
@@ -108,7 +109,7 @@ def drop_recurring_lines(
         + [("tokens", pa.string())]
     )
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
             columns: list[list] = [[] for _ in lines_schema]
             ids, texts = batch.column("key_id").to_pylist(), batch.column("key_text").to_pylist()
@@ -117,12 +118,14 @@ def drop_recurring_lines(
                 for line in (text or "").split("\n"):
                     if found := line_key(line, min_tokens):
                         own[found[1]] = found[0]
-                for key, tokens in own.items():
-                    for column, value in zip(columns, (a, b, key, leaf(tokens, depth), " ".join(tokens)), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, lines_schema, strict=True)], schema=lines_schema
-            )
+                columns[0] += [a] * len(own)
+                columns[1] += [b] * len(own)
+                columns[2] += own
+                if whole:
+                    columns[3] += [leaf(tokens, depth) for tokens in own.values()]
+                    columns[4] += map(" ".join, own.values())
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, lines_schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays[: 5 if whole else 3], names=lines_schema.names[: 5 if whole else 3])
 
     source = df.select(*document, F.col(text_col).cast("string").alias("text"))
     parsed = source.mapInArrow(parse, "key_id long, key_text long, line long, leaf long, tokens string")
@@ -159,9 +162,8 @@ def drop_recurring_lines(
     # The same hash in two leaves is one line here.
     templates = templates.groupBy("line").agg(F.min("template").alias("template"))
 
-    held = written(
-        parsed.select("key_id", "key_text", "line").join(templates, "line"), "lines-with-templates"
-    )
+    keys = source.mapInArrow(lambda batches: parse(batches, whole=False), "key_id long, key_text long, line long")
+    held = written(keys.join(templates, "line"), "lines-with-templates")
     recurring = (
         held.select("template", "key_id", "key_text")
         .distinct()
