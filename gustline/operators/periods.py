@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gustline.defaults import EVENT_TIME
 from gustline.functions import quoted
@@ -36,7 +37,12 @@ def filter_ingestion_period(
     first = _day(start_date) if start_date else last
     day = quoted(filter_column).try_cast("date")
     within = day.between(F.lit(first), F.lit(last))
-    return df.filter(within | day.isNull() if keep_unparseable else within)
+    if not keep_unparseable:
+        return df.filter(within)
+    # A typed column is unreadable only where it is null, and that test reaches Parquet.
+    kind = df.select(quoted(filter_column)).schema[0].dataType
+    typed = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return df.filter(within | (quoted(filter_column) if typed else day).isNull())
 
 
 def with_date(df: DataFrame, event_time: str = EVENT_TIME, name: str = "date") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -42,9 +43,10 @@ def etl(
     """Read, keep the period if one is given, transform if asked to, write.
 
     ``date_filter`` holds the arguments of ``filter_ingestion_period``; its column defaults to
-    ``ingestion_date``. The session stays the caller's.
+    ``ingestion_date``. A folder of CSV files with header lines is bound by name, file by file. The
+    session stays the caller's.
     """
-    rows = _within_period(Reader.get_reader(reader).extract(spark), date_filter, "ingestion_date")
+    rows = _within_period(_named_rows(spark, reader), date_filter, "ingestion_date")
     Writer.get_writer(writer).load(rows.transform(transform) if transform else rows)
 
 
@@ -131,6 +133,7 @@ def run_layers(
     """
     rules, dynamic = list(rules), list(dynamic_conditions or ())
     if not isinstance(raw, DataFrame):
+        _refuse_partial_days(raw, tables)
         raw = _raw_rows(spark, raw, [name for name in schema if name != AUDIT])
 
     delivered = _within_period(raw, date_filter, EVENT_TIME)
@@ -155,14 +158,40 @@ def run_layers(
     cleansed = tables.readings(spark, "cleansed", date_filter)
     Writer.get_writer(tables.curated).load(curated_layer_transform(cleansed))
 
-    unique = written.get["rows"] if Writer.get_writer(tables.cleansed).counts else None
+    sink = Writer.get_writer(tables.cleansed)
+    # In mode "ignore" nothing may have been written, so the write counts nothing.
+    unique = written.get["rows"] if sink.counts and sink.mode != "ignore" else None
     return cleansing_statistics(ingested, schema, dynamic, rules, dedupe_keys, unique)
 
 
+# Source options by which a scan sees a part of the files only.
+PARTIAL_SCAN_OPTIONS = ("modifiedAfter", "modifiedBefore", "pathGlobFilter")
+
+
+def _refuse_partial_days(raw: Spec, tables: LayerTables) -> None:
+    """``ValueError`` where a run would replace whole days by the readings of some of their files."""
+    if tables.day_column and str(tables.ingestion.get("mode", "")).lower() == "overwrite":
+        options = {key.lower() for key, value in Reader.get_reader(raw).options.items() if value is not None}
+        partial = [name for name in PARTIAL_SCAN_OPTIONS if name.lower() in options]
+        if partial:
+            raise ValueError(f"Days would be replaced by a part of their files: {partial}")
+
+
+def _named_rows(spark: SparkSession, spec: Spec) -> DataFrame:
+    """A source whose columns are bound by name also where CSV files order them differently."""
+    reader = Reader.get_reader(spec)
+    path = reader.options.get("path", "")
+    header = str(reader.options.get("header", "false")).lower() == "true"
+    folder = isinstance(path, str) and not os.path.splitext(path.rstrip("/"))[1]
+    if reader.format == "csv" and header and folder and reader.schema is None:
+        return read_csv_directory(spark, path, options=reader.options)
+    return reader.extract(spark)
+
+
 def _raw_rows(spark: SparkSession, spec: Spec, required: list[str]) -> DataFrame:
     reader = Reader.get_reader(spec)
     if reader.format == "csv":
         return read_csv_directory(
-            spark, reader.options["path"], required=required, options=reader.options
+            spark, reader.options["path"], required=required, options=reader.options, only_common=True
         )
     return reader.extract(spark)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustline.functions import quoted
+
 if TYPE_CHECKING:
     import pyarrow as pa
 
@@ -109,6 +111,7 @@ def read_csv_directory(
     columns: Sequence[str] | None = None,
     file_column: str | None = None,
     options: Mapping[str, Any] | None = None,
+    only_common: bool = False,
 ) -> DataFrame:
     """All CSV files of a directory as text columns, bound by header name.
 
@@ -121,7 +124,8 @@ def read_csv_directory(
     ``columns`` states the one header all files have and skips the look at the headers; Spark
     then refuses any file that differs while it reads. ``file_column`` names a column to hold
     each row's file name. ``options`` are Spark's CSV options (separator, encoding,
-    ``modifiedAfter`` to skip files without new rows, ...).
+    ``modifiedAfter`` to skip files without new rows, ...). Columns that some files lack are NULL
+    there; with ``only_common`` they are left out.
     """
     options = {key: value for key, value in (options or {}).items() if key != "path"}
     if str(options.get("header", "true")).lower() != "true":
@@ -150,4 +154,8 @@ def read_csv_directory(
     for row in headers.collect():
         by_header[tuple(_columns(row.header, options))].append(row.path)
     scans = [scan(list(map(_literal, sorted(paths))), names) for names, paths in sorted(by_header.items())]
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
+    if only_common:
+        everywhere = set.intersection(*map(set, by_header)) | {file_column}
+        rows = rows.select([quoted(name) for name in rows.columns if name in everywhere])
+    return rows

@@ -79,6 +79,9 @@ class Reader:
         source = session.read.format(self.format).options(**given(self.options))
         if self.schema is not None:
             source = source.schema(self.schema)
+            if self.format == "csv" and "enforceSchema" not in self.options:
+                # With a header line, refuse files that have the columns in another order.
+                source = source.option("enforceSchema", "false")
         return source.load()
 
     def drift(self, spark: SparkSession | None = None) -> DataFrame:

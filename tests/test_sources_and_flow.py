@@ -341,3 +341,32 @@ def test_shared_folder(spark):
 
     with pytest.raises(RuntimeError):
         shared_folder(Cluster(), "x")
+
+
+def test_replaced_days_need_all_their_files(spark, tmp_path):
+    raw = {"format": "csv", "read_options": {"path": str(tmp_path), "modifiedAfter": "2024-01-01T00:00:00"}}
+    with pytest.raises(ValueError, match="part of their files"):
+        run_layers(spark, raw, daily_parquet_tables(str(tmp_path / "tables")))
+
+
+def test_etl_binds_csv_columns_by_name(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text("turbine_id,power\n1,10\n")
+    (folder / "b.csv").write_text("power,turbine_id\n20,2\n")
+    source = {"format": "csv", "read_options": {"path": str(folder), "header": "true"}}
+    etl(spark, source, {"format": "parquet", "path": str(tmp_path / "out")})
+    found = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("turbine_id", "power").collect()}
+    assert found == {("1", "10"), ("2", "20")}
+
+
+def test_columns_of_some_files_send_nothing_to_quarantine(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    head = "timestamp,turbine_id,wind_speed,wind_direction,power_output"
+    (folder / "a.csv").write_text(f"{head},note\n2024-01-01 00:00:00,1,5.0,10,2.0,x\n")
+    (folder / "b.csv").write_text(f"{head}\n2024-01-01 01:00:00,2,6.0,20,3.0\n")
+    tables = parquet_tables(str(tmp_path / "tables"))
+    run_layers(spark, {"format": "csv", "read_options": {"path": str(folder), "header": "true"}}, tables)
+    assert {r.turbine_id for r in tables.read(spark, "cleansed").collect()} == {1, 2}
+    assert tables.read(spark, "quarantine").count() == 0
