@@ -5,10 +5,14 @@ sketch of fixed size that counts all n-grams of all documents. Documents with th
 node. Two sets that reach the similarity share one of their rarest n-grams (the prefix), so nodes
 meet in the lists of their prefix n-grams.
 
-1. Stars: each list's smallest set is probed against a tree of the others. Families of near copies
+1. Stars: one set of each list is probed against a tree of the others. Families of near copies
    become components after a number of comparisons that is linear in their size.
-2. The rest: components that still share a prefix n-gram are compared as wholes. The members of the
-   larger stand in trees of bounded size; each member of the smaller is probed.
+2. The rest: components that still share a prefix n-gram are compared as wholes, again in trees of
+   bounded size.
+
+Before sets meet in a tree, their signatures do: counts of n-grams over a quarter as many cells. The
+cells' differences add up to no more than the sets' difference, so a pair that is too far apart by
+signature is out for certain; the whole sets are gathered for the other pairs only.
 
 A tree holds sets in the global order, frequent n-grams first, and shares what they begin with.
 A probe walks it with the overlap so far and leaves a branch when the overlap can't reach what the
@@ -29,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.shared import documents, slices, written
+from gustline.llm.shared import KeyFilter, documents, slices, written
 from gustline.llm.word_hashes import U, shingle_sets
 
 BUCKETS = 1 << 18  # of the sketch, whatever the input
@@ -60,9 +64,25 @@ def node_of(hashes: np.ndarray) -> int:
     return signed(xxhash.xxh3_64_intdigest(hashes.tobytes()))
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """How many hashes begin with each pattern of bits; about four on average."""
+    bits = min(max((len(hashes) - 1).bit_length() - 2, 1), 16)
+    counts = np.bincount((hashes >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def difference(a: np.ndarray, b: np.ndarray) -> int:
+    """At least so many elements are in one of the sets only, by their signatures."""
+    if len(a) > len(b):
+        a = a.reshape(len(b), -1).sum(axis=1)
+    elif len(b) > len(a):
+        b = b.reshape(len(a), -1).sum(axis=1)
+    return int(np.abs(a - b).sum())
+
+
 def counted_sets(df: DataFrame, words: int) -> DataFrame:
-    """doc_id, n and node of each document; and rows of bucket and count for the sketch."""
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "node", "bucket", "count")])
+    """doc_id, n, node and signature of each document; and rows of bucket and count for the sketch."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "node", "bucket", "count")] + [("sign", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(BUCKETS, np.int64)
@@ -70,16 +90,21 @@ def counted_sets(df: DataFrame, words: int) -> DataFrame:
             hashes, first = shingle_sets(batch.column("text"), words)
             sketch += np.bincount(hashes & U(BUCKETS - 1), minlength=BUCKETS)
             n = np.diff(first)
-            nodes = [node_of(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            sets = [hashes[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+            nodes, signs = [node_of(s) for s in sets], [signature(s) for s in sets]
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(nodes, pa.int64()), none, none], schema=schema
+                [batch.column("doc_id"), pa.array(n), pa.array(nodes, pa.int64()), none, none]
+                + [pa.array(signs, pa.binary())],
+                schema=schema,
             )
         used = np.flatnonzero(sketch)
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(used), pa.array(sketch[used])], schema=schema)
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none, pa.array(used), pa.array(sketch[used]), pa.nulls(len(used), pa.binary())], schema=schema
+        )
 
-    return df.mapInArrow(count, "doc_id long, n long, node long, bucket long, count long")
+    return df.mapInArrow(count, "doc_id long, n long, node long, bucket long, count long, sign binary")
 
 
 class Order:
@@ -159,25 +184,33 @@ class PrefixTree:
 
 
 def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """hub and node: the smallest set of a list with each that isn't too large; a larger one begins a new star."""
+    """hub and node: each set of a list with the list's first hub of a fitting size; without one it becomes a hub.
+
+    Lists go by node, whose order is the same in all lists, so a family's lists agree on few hubs. A list
+    has at most one hub for each power of 100/percent in size.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = hub = size = last = None
+        token, list_hubs = None, []
         for batch in batches:
             hubs, nodes = [], []
             rows = zip(*(batch.column(c).to_pylist() for c in ("token", "n", "node")), strict=True)
             for t, n, node in rows:
-                if t != token or 100 * size < percent * n:
-                    token, hub, size = t, node, n
-                elif node != hub and node != last:
-                    hubs.append(hub)
-                    nodes.append(node)
-                last = node
+                if t != token:
+                    token, list_hubs = t, []
+                for size, hub in list_hubs:
+                    if 100 * min(size, n) >= percent * max(size, n):
+                        if hub != node:
+                            hubs.append(hub)
+                            nodes.append(node)
+                        break
+                else:
+                    list_hubs.append((n, node))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], names=["hub", "node"]
             )
 
-    ordered = postings.select("token", "n", "node").repartition("token").sortWithinPartitions("token", "n", "node")
+    ordered = postings.select("token", "n", "node").repartition("token").sortWithinPartitions("token", "node")
     return ordered.mapInArrow(pairs, "hub long, node long").distinct()
 
 
@@ -212,6 +245,53 @@ def component_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(pairs, "a long, b long").distinct()
 
 
+def in_blocks(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members and probes for pairs of hub and node: each hub is probed against trees of its nodes."""
+    blocks = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    members = pairs.join(blocks, "hub").select(F.col("hub").alias("tree"), block.alias("block"), "node")
+    probes = blocks.select(
+        F.col("hub").alias("tree"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.col("hub").alias("node"),
+    )
+    return members, probes
+
+
+def near_signatures(members: DataFrame, probes: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """hub (the probe) and node (the member) of pairs whose signatures don't rule the similarity out."""
+    rows = (
+        members.select("tree", "block", "node", F.lit(0).alias("probe"))
+        .union(probes.select("tree", "block", "node", F.lit(1).alias("probe")))
+        .join(signatures, "node")
+        .repartition("tree", "block")
+        .sortWithinPartitions("tree", "block", "probe")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, members = None, []
+        for batch in batches:
+            hubs, nodes = [], []
+            columns = (batch.column(c).to_pylist() for c in ("tree", "block", "node", "probe", "n", "sign"))
+            for name, block, node, probe, n, sign in zip(*columns, strict=True):
+                if (name, block) != at:
+                    at, members = (name, block), []
+                sign = np.frombuffer(sign, np.uint8).astype(np.int32)
+                if not probe:
+                    members.append((node, n, sign))
+                    continue
+                for other, m, its in members:
+                    least = needed(n, m, percent)
+                    if other != node and least <= min(n, m) and difference(sign, its) <= n + m - 2 * least:
+                        hubs.append(node)
+                        nodes.append(other)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], names=["hub", "node"]
+            )
+
+    return rows.mapInArrow(compare, "hub long, node long")
+
+
 def probed(members: DataFrame, probes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links a, b between the probes and the members of the same tree; trees are named by ``tree`` and ``block``."""
     rows = (
@@ -291,7 +371,7 @@ def near_duplicates(
     for row in counted.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count")).collect():
         sketch[row[0]] = row[1]
     order = spark.sparkContext.broadcast(Order(sketch))
-    nodes = counted.where("bucket IS NULL").select("doc_id", "n", "node")
+    nodes = counted.where("bucket IS NULL").select("doc_id", "n", "node", "sign")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one task give one list entry
@@ -345,36 +425,41 @@ def near_duplicates(
     )
     postings = written(ordered.mapInArrow(shared_only, "token long, n long, node long"), "prefix-lists")
 
-    # The sets of nodes that meet another one, from one document of each.
-    active = postings.select("node").distinct()
-    chosen = (
-        nodes.where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(active, "node")
+    signatures = written(
+        nodes.join(postings.select("node").distinct(), "node")
+        .groupBy("node")
+        .agg(F.first("n").alias("n"), F.first("sign").alias("sign")),
+        "signatures",
     )
 
-    def ordered_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            wanted, out, sets = batch.column("node").to_pylist(), [], []
-            for want, (node, keys) in zip(wanted, order.value.sets(batch.column("text"), words), strict=True):
-                if node == want:  # an id may be repeated with other texts
-                    out.append(node)
-                    sets.append(keys.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), pa.array(sets, pa.binary())], names=["node", "keys"]
-            )
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those pairs of hub and node that reach the similarity, as a and b."""
+        wanted = KeyFilter(pairs.select(F.explode(F.array("hub", "node")).alias("node")))
+        wanted = spark.sparkContext.broadcast(wanted)
+
+        def ordered_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for batch in slices(batches, "text"):
+                out, sets = [], []
+                for node, keys in order.value.sets(batch.column("text"), words):
+                    if wanted.value.passes(node) and node not in seen and len(keys):
+                        seen.add(node)
+                        out.append(node)
+                        sets.append(keys.tobytes())
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out, pa.int64()), pa.array(sets, pa.binary())], names=["node", "keys"]
+                )
 
-    sets = identified.join(chosen, "doc_id").select("node", "text").mapInArrow(ordered_sets, "node long, keys binary")
-    sets = written(sets.dropDuplicates(["node"]) if repeated_ids(nodes) else sets, "ordered-sets")
+        sets = identified.select("text").mapInArrow(ordered_sets, "node long, keys binary")
+        sets = sets.groupBy("node").agg(F.first("keys").alias("keys"))
+        return probed(*in_blocks(pairs), sets, percent)
 
     # 1. stars
-    stars = written(star_pairs(postings, percent), "stars-to-check")
-    blocks = stars.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    members = stars.join(blocks, "hub").select(F.col("hub").alias("tree"), block.alias("block"), "node")
-    probes = blocks.select(
-        F.col("hub").alias("tree"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.col("hub").alias("node"),
-    )
-    star_links = written(probed(members, probes, sets, percent), "star-links")
+    stars = star_pairs(postings, percent)
+    near = written(near_signatures(*in_blocks(stars), signatures, percent), "stars-to-check")
+    star_links = written(linked(near), "star-links")
     families = written(components(star_links), "families")
 
     # 2. the rest
@@ -383,12 +468,7 @@ def near_duplicates(
         .withColumn("component", F.coalesce("component", "node"))
         .select("token", "n", "component")
     )
-    pairs = component_pairs(labelled, percent)
-    # Pairs of sets without a family that were compared as stars needn't be compared again.
-    compared = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-    for c in "ab":
-        compared = compared.join(families.select(F.col("node").alias(c)), c, "left_anti")
-    pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "components-to-check")
+    pairs = written(component_pairs(labelled, percent), "components-to-compare")
     involved = pairs.select("a").union(pairs.select("b")).distinct().toDF("component")
     inside = families.join(involved, "component", "left_semi")
     alone = involved.join(families.select("component").distinct(), "component", "left_anti")
@@ -406,13 +486,18 @@ def near_duplicates(
         )
     )
     trees = sided.select("tree", "blocks").distinct()
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     tree_members = trees.join(inside.withColumnRenamed("component", "tree"), "tree").select(
         "tree", block.alias("block"), "node"
     )
     tree_probes = sided.join(inside, "component").select(
         "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "node"
     )
-    more_links = probed(tree_members, tree_probes, sets, percent)
+    rest = near_signatures(tree_members, tree_probes, signatures, percent)
+    # Stars have been checked.
+    either_way = near.select("hub", "node").union(near.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
+    rest = written(rest.join(either_way, ["hub", "node"], "left_anti"), "rest-to-check")
+    more_links = linked(rest)
     family_links = families.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = written(components(family_links.union(more_links)), "components")
 
@@ -426,6 +511,3 @@ def near_duplicates(
     )
     return linked.union(rest)
 
-
-def repeated_ids(nodes: DataFrame) -> bool:
-    return bool(nodes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").take(1))
