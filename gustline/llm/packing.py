@@ -37,7 +37,7 @@ GROUPS = 20  # of large lengths
 PER_BIN = 3  # large pieces are those of which at most so many fit into a sequence
 PER_SALT = 200_000  # pieces
 WORD_END = "</w>"  # fixed value: how the vocabulary marks the last token of a word
-MEMO = 1 << 20  # words whose ids a worker remembers before it starts afresh
+MEMO = 3 << 18  # words whose ids a worker remembers before it starts afresh
 
 Pattern = list[tuple[int, int]]  # length and number of pieces of that length in one sequence
 

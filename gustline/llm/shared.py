@@ -47,7 +47,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about ``size`` bytes of text each, so that temporaries stay small.
 
     A single longer text comes alone and whole.
