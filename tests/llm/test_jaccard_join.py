@@ -95,3 +95,12 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.component for r in jaccard_join.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {found[i] for i in range(100, 161)} == {100} and {found[i] for i in [500, *range(200, 260)]} == {200}
     assert found[3] == found[2] == 2 and 9 not in found
+
+
+def test_signatures_never_overstate_a_difference():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 400, dtype="u8")
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in "ab")
+        signs = [np.frombuffer(jaccard_join.signature(x), "u1").astype(int) for x in (a, b)]
+        assert jaccard_join.difference(*signs) <= len(np.setxor1d(a, b))
