@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.llm.shared import KeyFilter, documents, slices, written
@@ -53,6 +53,10 @@ def prefix_length(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
+def prefix_length_of(n: Column, percent: int) -> Column:
+    return n - F.ceil(n * percent / 100) + 1
+
+
 # sets
 
 
@@ -186,8 +190,10 @@ class PrefixTree:
 def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """hub and node: each set of a list with the list's first hub of a fitting size; without one it becomes a hub.
 
-    Lists go by node, whose order is the same in all lists, so a family's lists agree on few hubs. A list
-    has at most one hub for each power of 100/percent in size.
+    Lists go by the share of a node's prefix that others share, then by node: the same order in all lists, so
+    a family's lists agree on few hubs. A text that others were made from has no n-grams of its own in its
+    prefix, so it comes before its copies and is near them all. A list has at most one hub for each power of
+    100/percent in size.
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +216,8 @@ def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
                 [pa.array(hubs, pa.int64()), pa.array(nodes, pa.int64())], names=["hub", "node"]
             )
 
-    ordered = postings.select("token", "n", "node").repartition("token").sortWithinPartitions("token", "node")
+    lists = postings.select("token", "n", "node", "share").repartition("token")
+    ordered = lists.sortWithinPartitions("token", F.desc("share"), "node")
     return ordered.mapInArrow(pairs, "hub long, node long").distinct()
 
 
@@ -263,7 +270,7 @@ def near_signatures(members: DataFrame, probes: DataFrame, signatures: DataFrame
     rows = (
         members.select("tree", "block", "node", F.lit(0).alias("probe"))
         .union(probes.select("tree", "block", "node", F.lit(1).alias("probe")))
-        .join(signatures, "node")
+        .join(signatures.select("node", "n", "sign"), "node")
         .repartition("tree", "block")
         .sortWithinPartitions("tree", "block", "probe")
     )
@@ -425,10 +432,12 @@ def near_duplicates(
     )
     postings = written(ordered.mapInArrow(shared_only, "token long, n long, node long"), "prefix-lists")
 
+    entries = postings.groupBy("node").agg(F.count("*").alias("entries"))
     signatures = written(
-        nodes.join(postings.select("node").distinct(), "node")
+        nodes.join(entries, "node")
         .groupBy("node")
-        .agg(F.first("n").alias("n"), F.first("sign").alias("sign")),
+        .agg(*(F.first(c).alias(c) for c in ("n", "sign", "entries")))
+        .select("node", "n", "sign", (F.col("entries") / prefix_length_of(F.col("n"), percent)).alias("share")),
         "signatures",
     )
 
@@ -457,7 +466,7 @@ def near_duplicates(
         return probed(*in_blocks(pairs), sets, percent)
 
     # 1. stars
-    stars = star_pairs(postings, percent)
+    stars = star_pairs(postings.join(signatures.select("node", "share"), "node"), percent)
     near = written(near_signatures(*in_blocks(stars), signatures, percent), "stars-to-check")
     star_links = written(linked(near), "star-links")
     families = written(components(star_links), "families")
