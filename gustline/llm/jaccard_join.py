@@ -485,14 +485,15 @@ def near_duplicates(
     sizes = inside.groupBy("component").agg(F.count("*").alias("size"))
     a, b = (sizes.select(F.col("component").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
     larger_first = F.col("size_a") >= F.col("size_b")
-    sided = (
+    sided = written(
         pairs.join(a, "a")
         .join(b, "b")
         .select(
             F.when(larger_first, F.col("a")).otherwise(F.col("b")).alias("tree"),
             F.when(larger_first, F.col("b")).otherwise(F.col("a")).alias("component"),
             F.ceil(F.greatest("size_a", "size_b") / BLOCK).alias("blocks"),
-        )
+        ),
+        "sided-pairs",
     )
     trees = sided.select("tree", "blocks").distinct()
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
