@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions import all_not_null, any_null, holds, quoted
+from gustline.functions import any_null, holds, quoted
 from gustline.operators.schema import require_columns
 
 
@@ -111,9 +113,8 @@ def constraint_violations(
     """Rows that a table with these constraints would have refused.
 
     Result: ``constraint``, ``columns``, ``violating_rows``. A primary key counts the surplus
-    rows of each repeated key and implies NOT NULL on its columns. The null counts take a scan
-    without a shuffle. The key check shuffles nothing but keys with their counts, combined in
-    the map tasks, so a hot key is cheap.
+    rows of each repeated key and implies NOT NULL on its columns. One scan; the shuffle carries
+    nothing but keys with their counts, combined in the map tasks, so a hot key is cheap.
     """
     required = list(dict.fromkeys([*primary_key, *not_null]))
     if not required:
@@ -127,19 +128,18 @@ def constraint_violations(
             violations.alias("violating_rows"),
         )
 
-    nulls = df.agg(*(F.count_if(quoted(name).isNull()).alias(f"null_{i}") for i, name in enumerate(required)))
-    report = nulls.select(
-        F.inline(F.array(*(entry("NOT NULL", name, F.col(f"null_{i}")) for i, name in enumerate(required))))
+    keys = {name: f"key_{i}" for i, name in enumerate(primary_key)}
+    null_counts = {name: f"null_{i}" for i, name in enumerate(required)}
+    copies = df.groupBy(*(quoted(name).alias(key) for name, key in keys.items())).agg(
+        F.count(F.lit(1)).alias("copies"),
+        *(F.count_if(quoted(name).isNull()).alias(null) for name, null in null_counts.items()),
     )
-    if not primary_key:
-        return report
-    copies = (
-        df.filter(all_not_null(primary_key))
-        .groupBy(*(quoted(name).alias(f"key_{i}") for i, name in enumerate(primary_key)))
-        .agg(F.count(F.lit(1)).alias("copies"))
+    whole_key = reduce(and_, (F.col(key).isNotNull() for key in keys.values()), F.lit(True))
+    totals = copies.agg(
+        F.coalesce(F.sum(F.when(whole_key, F.col("copies") - 1)), F.lit(0)).alias("surplus"),
+        *(F.coalesce(F.sum(null), F.lit(0)).alias(null) for null in null_counts.values()),
     )
-    surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-    key_report = copies.agg(surplus.alias("surplus")).select(
-        F.inline(F.array(entry("PRIMARY KEY", ", ".join(primary_key), F.col("surplus"))))
-    )
-    return key_report.union(report)
+    entries = [entry("NOT NULL", name, F.col(null)) for name, null in null_counts.items()]
+    if primary_key:
+        entries.insert(0, entry("PRIMARY KEY", ", ".join(primary_key), F.col("surplus")))
+    return totals.select(F.inline(F.array(*entries)))

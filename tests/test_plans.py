@@ -38,6 +38,11 @@ def test_rules_reach_the_scan(spark):
     assert "ReadSchema: struct<user_id:bigint,value:double>" in text
 
 
+def test_constraints_take_one_scan(spark):
+    text = plan(constraint_violations(events(spark, SF_DIR), ["value"], ["user_id", "ts"]))
+    assert text.count("ReadSchema") == 1 and "Union" not in text
+
+
 def test_curated_reads_three_columns_and_shuffles_once(spark):
     text = plan(contract.queries()["curated_layer"](spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in text
