@@ -7,8 +7,8 @@ meet in the lists of their prefix n-grams.
 
 1. Stars: one set of each list is probed against a tree of the others. Families of near copies
    become components after a number of comparisons that is linear in their size.
-2. The rest: components that still share a prefix n-gram are compared as wholes, again in trees of
-   bounded size.
+2. The rest: components that still share a prefix n-gram, at positions that leave room for the overlap
+   they need, are compared as wholes, again in trees of bounded size.
 
 Before sets meet in a tree, their signatures do: counts of n-grams over a quarter as many cells. The
 cells' differences add up to no more than the sets' difference, so a pair that is too far apart by
@@ -57,6 +57,14 @@ def prefix_length_of(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / 100) + 1
 
 
+def reach(n, position, percent: int):
+    """The largest partner whose first common element can stand at this position (from 0) of a set of n.
+
+    From there on ``n - position`` elements are left, and the overlap that two sizes need must fit in them.
+    """
+    return (100 + percent) * (n - position) // percent - n
+
+
 # sets
 
 
@@ -222,30 +230,38 @@ def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
 
 
 def component_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Different components a < b that share a list with sets of fitting sizes."""
+    """Different components a < b that share a list with sets whose sizes and positions fit.
+
+    In the list of two sets' first common element, each is no larger than the other's reach; so every link is
+    found there, and lists of later common elements may pass it by.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, window, done = None, {}, set()
         for batch in batches:
             found = []
-            for t, n, component in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "component")), strict=True):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("token", "n", "reach", "component")), strict=True)
+            for t, n, most, component in rows:
                 if t != token:
                     token, window, done = t, {}, set()
-                # Per component, the largest set so far decides whether the sizes fit.
-                for other, size in list(window.items()):
-                    if 100 * size < percent * n:
+                # Sizes ascend. Per component, its smallest set and its largest reach so far decide.
+                for other, (least, its_most) in list(window.items()):
+                    if its_most < n:
                         del window[other]
-                    elif other != component and (pair := (min(other, component), max(other, component))) not in done:
-                        done.add(pair)
-                        found.append(pair)
-                window[component] = n
+                    elif least <= most and other != component:
+                        pair = (min(other, component), max(other, component))
+                        if pair not in done:
+                            done.add(pair)
+                            found.append(pair)
+                least, its_most = window.get(component, (n, most))
+                window[component] = least, max(its_most, most)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
     ordered = (
-        postings.select("token", "n", "component")
-        .distinct()
+        postings.groupBy("token", "n", "component")
+        .agg(F.max("reach").alias("reach"))
         .repartition("token")
         .sortWithinPartitions("token", "n", "component")
     )
@@ -383,7 +399,7 @@ def near_duplicates(
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one task give one list entry
         for batch in slices(batches, "text"):
-            tokens, sizes, owners = [], [], []
+            tokens, sizes, reaches, owners = [], [], [], []
             for node, keys in order.value.sets(batch.column("text"), words):
                 if not len(keys) or node in seen:
                     continue
@@ -391,46 +407,49 @@ def near_duplicates(
                 own = keys[: prefix_length(len(keys), percent)]
                 tokens.append(own)
                 sizes.append(np.full(len(own), len(keys)))
+                reaches.append(reach(len(keys), np.arange(len(own)), percent))
                 owners.append(np.full(len(own), node))
             if len(seen) > 1_000_000:
                 seen.clear()
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64))]
-                    + [pa.array(np.concatenate(x)) for x in (sizes, owners)],
-                    names=["token", "n", "node"],
+                    + [pa.array(np.concatenate(x)) for x in (sizes, reaches, owners)],
+                    names=["token", "n", "reach", "node"],
                 )
 
     def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Entries of lists with two nodes or more. Lists go through in order; only the last entry is held back."""
-        held = None  # (token, n, node, whether the list is known to be shared)
+        held = None  # (token, n, reach, node)
         for batch in batches:
-            token, n, node = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
+            columns = [batch.column(c).to_numpy() for c in ("token", "n", "reach", "node")]
             if held is not None:
-                token, n, node = (np.concatenate([[h], x]) for h, x in zip(held, (token, n, node)))
+                columns = [np.concatenate([[h], x]) for h, x in zip(held, columns)]
+            token, node = columns[0], columns[-1]
             if not len(token):
                 continue
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-            token, n, node = token[new], n[new], node[new]
+            columns = [x[new] for x in columns]
+            token = columns[0]
             same = token[1:] == token[:-1]
             shared = np.zeros(len(token), bool)
             shared[1:] |= same
             shared[:-1] |= same
             # The last entry is decided with the next batch; it comes again if its list goes on.
-            held = (token[-1], n[-1], node[-1])
+            held = tuple(x[-1] for x in columns)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[shared].astype(np.int64)) for x in (token, n, node)], names=["token", "n", "node"]
+                [pa.array(x[shared].astype(np.int64)) for x in columns], names=["token", "n", "reach", "node"]
             )
 
     identified = docs.where("doc_id IS NOT NULL")
     ordered = (
         identified.select("text")
-        .mapInArrow(prefixes, "token long, n long, node long")
+        .mapInArrow(prefixes, "token long, n long, reach long, node long")
         .repartition("token")
         .sortWithinPartitions("token", "n", "node")
     )
-    postings = written(ordered.mapInArrow(shared_only, "token long, n long, node long"), "prefix-lists")
+    postings = written(ordered.mapInArrow(shared_only, "token long, n long, reach long, node long"), "prefix-lists")
 
     entries = postings.groupBy("node").agg(F.count("*").alias("entries"))
     signatures = written(
@@ -475,7 +494,7 @@ def near_duplicates(
     labelled = (
         postings.join(families, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
-        .select("token", "n", "component")
+        .select("token", "n", "reach", "component")
     )
     pairs = written(component_pairs(labelled, percent), "components-to-compare")
     involved = pairs.select("a").union(pairs.select("b")).distinct().toDF("component")

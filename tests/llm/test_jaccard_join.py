@@ -104,3 +104,19 @@ def test_signatures_never_overstate_a_difference():
         a, b = (np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in "ab")
         signs = [np.frombuffer(jaccard_join.signature(x), "u1").astype(int) for x in (a, b)]
         assert jaccard_join.difference(*signs) <= len(np.setxor1d(a, b))
+
+
+def test_reach_admits_the_first_common_element_of_every_link():
+    rng = np.random.default_rng(11)
+    linked = 0
+    for _ in range(3000):
+        pool = np.arange(rng.integers(2, 40))
+        a, b = (np.flatnonzero(rng.random(len(pool)) < 0.85) for _ in "ab")
+        common = np.intersect1d(a, b)
+        if not len(common) or 100 * len(common) < 75 * len(np.union1d(a, b)):
+            continue
+        linked += 1
+        i, j = (int(np.searchsorted(x, common[0])) for x in (a, b))
+        assert i < jaccard_join.prefix_length(len(a), 75) and j < jaccard_join.prefix_length(len(b), 75)
+        assert len(b) <= jaccard_join.reach(len(a), i, 75) and len(a) <= jaccard_join.reach(len(b), j, 75)
+    assert linked > 100
