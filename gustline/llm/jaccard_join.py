@@ -10,9 +10,9 @@ meet in the lists of their prefix n-grams.
 2. The rest: components that still share a prefix n-gram, at positions that leave room for the overlap
    they need, are compared as wholes, again in trees of bounded size.
 
-Before sets meet in a tree, their signatures do: counts of n-grams over a quarter as many cells. The
-cells' differences add up to no more than the sets' difference, so a pair that is too far apart by
-signature is out for certain; the whole sets are gathered for the other pairs only.
+Before sets meet in a tree, their signatures do: a few bits for each n-gram, set where an odd number of
+n-grams falls. No more bits differ than n-grams do, so a pair that is too far apart by signature is out
+for certain; the whole sets are gathered for the other pairs only.
 
 A tree holds sets in the global order, frequent n-grams first, and shares what they begin with.
 A probe walks it with the overlap so far and leaves a branch when the overlap can't reach what the
@@ -77,19 +77,22 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """How many hashes begin with each pattern of bits; about four on average."""
-    bits = min(max((len(hashes) - 1).bit_length() - 2, 1), 16)
-    counts = np.bincount((hashes >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """Four to eight bits for each hash: whether an odd number of hashes ends with the bit's number."""
+    bits = min(max((len(hashes) - 1).bit_length() + 2, 6), 24)
+    counts = np.bincount((hashes & U((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").tobytes()
 
 
 def difference(a: np.ndarray, b: np.ndarray) -> int:
-    """At least so many elements are in one of the sets only, by their signatures."""
+    """At least so many elements are in one of the sets only, by their signatures as whole 64-bit words.
+
+    Each such element changes one bit. A longer signature is folded to the length of the other.
+    """
     if len(a) > len(b):
-        a = a.reshape(len(b), -1).sum(axis=1)
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
     elif len(b) > len(a):
-        b = b.reshape(len(a), -1).sum(axis=1)
-    return int(np.abs(a - b).sum())
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def counted_sets(df: DataFrame, words: int) -> DataFrame:
@@ -299,7 +302,7 @@ def near_signatures(members: DataFrame, probes: DataFrame, signatures: DataFrame
             for name, block, node, probe, n, sign in zip(*columns, strict=True):
                 if (name, block) != at:
                     at, members = (name, block), []
-                sign = np.frombuffer(sign, np.uint8).astype(np.int32)
+                sign = np.frombuffer(sign, U)
                 if not probe:
                     members.append((node, n, sign))
                     continue

@@ -99,11 +99,26 @@ def test_components_of_chains_and_stars(spark):
 
 def test_signatures_never_overstate_a_difference():
     rng = np.random.default_rng(9)
-    for _ in range(200):
+    for _ in range(300):
         pool = rng.integers(0, 1 << 63, 400, dtype="u8")
         a, b = (np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in "ab")
-        signs = [np.frombuffer(jaccard_join.signature(x), "u1").astype(int) for x in (a, b)]
-        assert jaccard_join.difference(*signs) <= len(np.setxor1d(a, b))
+        signs = [np.frombuffer(jaccard_join.signature(x), "u8") for x in (a, b)]
+        lost = len(np.setxor1d(a, b)) - jaccard_join.difference(*signs)
+        assert lost >= 0 and lost % 2 == 0
+
+
+def test_signatures_tell_sets_apart_just_below_the_similarity():
+    """Sets that share 70 of 100 elements differ too much for three quarters; hardly a pair passes."""
+    rng = np.random.default_rng(10)
+    passed = 0
+    for _ in range(300):
+        pool = np.unique(rng.integers(0, 1 << 63, 400, dtype="u8"))
+        rng.shuffle(pool)
+        a, b = pool[:340], pool[60:400]  # of 400, both hold 280
+        signs = [np.frombuffer(jaccard_join.signature(x), "u8") for x in (a, b)]
+        most = 680 - 2 * jaccard_join.needed(340, 340, 75)
+        passed += jaccard_join.difference(*signs) <= most
+    assert passed < 30
 
 
 def test_reach_admits_the_first_common_element_of_every_link():
