@@ -10,12 +10,20 @@ from pyspark.sql import types as T
 # Spellings Spark's own type parser reads differently or not at all.
 _SPARK_SPELLING = {
     "double precision": "double",
-    "timestamp without time zone": "timestamp",
+    "float4": "float",
+    "float8": "double",
+    "int2": "smallint",
+    "int4": "int",
+    "int8": "bigint",
     "text": "string",
+    "timestamp with time zone": "timestamp",
+    "timestamp without time zone": "timestamp",
+    "timestamptz": "timestamp",
 }
 
 _NULLABILITY = re.compile(r"\s+(not\s+)?null$")
-_CHARACTER = re.compile(r"^(varchar|character varying)\b")
+_CHARACTER = re.compile(r"^(varchar|char|character)\b")
+_PRECISION = re.compile(r"^(timestamp|timestamptz) ?\( ?\d+ ?\)")
 
 
 def _normalise(declared: str) -> str:
@@ -23,8 +31,11 @@ def _normalise(declared: str) -> str:
 
 
 def spark_type_name(declared: str) -> str:
-    """Spark SQL spelling of a declared type, without its nullability suffix."""
-    name = _NULLABILITY.sub("", _normalise(declared))
+    """Spark SQL spelling of a declared type, without its nullability suffix.
+
+    Lengths of character types and precisions of timestamps aren't kept: Spark's have none.
+    """
+    name = _PRECISION.sub(r"\1", _NULLABILITY.sub("", _normalise(declared)))
     if _CHARACTER.match(name):
         return "string"
     return _SPARK_SPELLING.get(name, name)

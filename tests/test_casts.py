@@ -156,3 +156,21 @@ def test_other_columns_and_order_stay_unless_projected(spark):
     schema = {"a.b": "DOUBLE PRECISION", "b": "INTEGER"}
     assert cast_columns(rows, schema).collect() == [("x", 1, 2.5)]
     assert cast_columns(rows, schema, project=True).columns == ["a.b", "b"]
+
+
+@pytest.mark.parametrize(
+    ("declared", "name"),
+    [
+        ("INT4 NOT NULL", "int"),
+        ("INT8", "bigint"),
+        ("FLOAT8 NULL", "double"),
+        ("CHAR(3)", "string"),
+        ("CHARACTER VARYING(20) NOT NULL", "string"),
+        ("TIMESTAMPTZ(3)", "timestamp"),
+        ("TIMESTAMP WITH TIME ZONE", "timestamp"),
+        ("TIMESTAMP(6) WITHOUT TIME ZONE NOT NULL", "timestamp"),
+    ],
+)
+def test_postgresql_spellings(spark, declared, name):
+    assert spark_type_name(declared) == name
+    assert spark_type(declared).simpleString() == name
