@@ -7,8 +7,8 @@ across documents is dropped from all of them but the first (by id), so no conten
 
 Copies of a line within a document, and of a line across documents, are combined in the map tasks
 before the tree is built, so a line that a third of all documents share is one row per task. A leaf
-is streamed and keeps a bounded number of open templates; a template that is closed early still
-counts, only later lines can't join it.
+is streamed and keeps all its templates open; in a large one, an index by position and token finds
+every template that a line may join.
 
 Lines with fewer tokens than ``min_tokens`` stay. Null text stays null, empty text empty. Rows that
 repeat id and text count as one document and are changed alike; a null id sorts last.
@@ -17,7 +17,9 @@ repeat id and text count as one document and are changed alike; a null id sorts
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gustline.llm.shared import slices, written
 
-OPEN_TEMPLATES = 4096
+SCANNED = 1024  # templates of a leaf that are compared one and all; more are looked up first
 FIELD = "<*>"
 has_digit = re.compile("[0-9]").search
 
@@ -60,30 +62,56 @@ class Templates:
     def __init__(self, width: int):
         self.width, self.numbers, self.ids = width, {FIELD: 0}, []
         self.rows = np.empty((16, width), np.int32)
+        # For each position and token the templates that had it there when they were opened.
+        self.holders: dict[tuple[int, int], array] = {}
+
+    def _index(self, n: int) -> None:
+        for at, token in enumerate(self.rows[n].tolist()):
+            if token:
+                self.holders.setdefault((at, token), array("i")).append(n)
+
+    def _candidates(self, line: np.ndarray, similarity: float) -> np.ndarray:
+        """Every template that can be alike enough, in order.
+
+        At least ``similarity`` squared of the width must be equal, so of the rarest positions one more
+        than may differ hold an equal token.
+        """
+        held = [self.holders.get((at, token), ()) for at, token in enumerate(line.tolist()) if token]
+        least = max(1, ceil(similarity * similarity * self.width - 1e-9))
+        held = sorted(held, key=len)[: max(0, len(held) - least + 1)]
+        found = [np.frombuffer(h, np.int32) for h in held if len(h)]
+        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int32)
 
     def place(self, tokens: list[str], key: int, similarity: float) -> int:
         """The key of the first line of the template that this line joins or opens."""
         numbers = self.numbers
         line = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int32)
         n = len(self.ids)
-        if n:
+        if n < SCANNED:
+            among, rows = None, self.rows[:n]
+        else:
+            among = self._candidates(line, similarity)
+            rows = self.rows[among]
+        if len(rows):
             # A variable field neither speaks for nor against; at least one token must be equal.
-            rows = self.rows[:n]
             fields = (rows == 0) | (line == 0)
             equal = ((rows == line) & ~fields).sum(axis=1)
             compared = np.maximum(self.width - (fields.sum(axis=1)), 1)
             score = np.where(equal >= similarity * np.maximum(compared, self.width * similarity), equal, -1)
             best = int(score.argmax())
             if score[best] > 0:
-                rows[best][rows[best] != line] = 0
+                best = best if among is None else int(among[best])
+                self.rows[best][self.rows[best] != line] = 0
                 return self.ids[best]
-        if n == OPEN_TEMPLATES:
-            self.ids, self.numbers, n = [], {FIELD: 0}, 0
-            line = np.array([self.numbers.setdefault(t, len(self.numbers)) for t in tokens], np.int32)
         if n == len(self.rows):
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
         self.rows[n] = line
         self.ids.append(key)
+        if n + 1 == SCANNED:
+            for k in range(n):
+                self._index(k)
+        if n + 1 >= SCANNED:
+            self._index(n)
         return key
 
 

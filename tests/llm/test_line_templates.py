@@ -1,10 +1,11 @@
 """Line templates against a brute-force reading of the same rules."""
 
+import random
 from collections import defaultdict
 
 import pytest
 
-from gustline.llm import queries
+from gustline.llm import line_templates, queries
 from gustline.llm.line_templates import drop_recurring_lines, masked
 from tests.llm.conftest import SF_DIR
 
@@ -37,6 +38,34 @@ def test_fewer_documents_than_asked_for_and_repeats_within_one(spark):
     assert dropped(spark, docs, min_docs=2)[2] == ("", 1, 1)
 
 
+def test_variants_spread_over_a_leaf_of_very_many_templates(spark):
+    rng = random.Random(4)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n)]
+
+    recurring, docs = [words(8) for _ in range(40)], []
+    for i in range(3):
+        own = [" ".join(["1", "2", "3", *words(8), "end"]) for _ in range(3000)]
+        spread = [" ".join(["1", "2", "3", *line[:7], *words(1), "end"]) for line in recurring]
+        # The last word is part of a line's path: variants of it are lines of their own.
+        other_end = [" ".join(["1", "2", "3", *line, *words(1)]) for line in recurring]
+        docs.append((i, "\n".join(own + spread + other_end)))
+    assert {i: n for i, (_, _, n) in dropped(spark, docs).items()} == {0: 0, 1: 40, 2: 40}
+
+
+def test_looking_templates_up_finds_what_comparing_all_does(monkeypatch):
+    rng = random.Random(5)
+    for width in (4, 7, 12):
+        lines = [[rng.choice(["<*>", *"abcdefghij"]) for _ in range(width)] for _ in range(1500)]
+        found = []
+        for scanned in (10, 1 << 30):
+            monkeypatch.setattr(line_templates, "SCANNED", scanned)
+            templates = line_templates.Templates(width)
+            found.append([templates.place(line, k, 0.75) for k, line in enumerate(lines)])
+        assert found[0] == found[1] and len(set(found[0])) > 20
+
+
 def test_odd_texts(odd, empty, odd_texts):
     found = drop_recurring_lines(odd, min_docs=2)
     assert found.columns[: len(odd.columns)] == odd.columns
