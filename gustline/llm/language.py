@@ -27,9 +27,8 @@ from gustline.llm.shared import batch_of, documents, slices, worker_cache
 
 UNKNOWN_LANGUAGE = "und"
 BLOCK = 256
-LETTERS = 94  # the most frequent ones that get symbols of their own
+DENSE = 94  # letters of a language up to which its transitions are one flat table
 SPACE, OTHER, PAD = 0, 1, 2
-SYMBOLS = 3 + LETTERS
 
 
 def lower_letters() -> np.ndarray:
@@ -85,15 +84,39 @@ class SuffixAutomaton:
                     link[q] = link[new] = clone
             last = new
 
-    def table(self) -> np.ndarray:
-        """Flat transitions. States count from 1 and are multiplied by SYMBOLS; 0 says that there is none."""
-        flat = np.zeros((len(self.next) + 1) * SYMBOLS, np.int32)
-        for state, edges in enumerate(self.next):
-            base = (state + 1) * SYMBOLS
-            for c, to in edges.items():
-                flat[base + c] = (to + 1) * SYMBOLS
-            flat[base + PAD] = base  # padding changes nothing
-        return flat
+    def transitions(self, width: int) -> Transitions:
+        """States count from 1 and are multiplied by ``width``, the number of symbols."""
+        edges = ((state + 1) * width + c for state, own in enumerate(self.next) for c in sorted(own))
+        to = ((own[c] + 1) * width for own in self.next for c in sorted(own))
+        return Transitions(np.fromiter(edges, np.int64), np.fromiter(to, np.int64), (len(self.next) + 1) * width, width)
+
+
+class Transitions:
+    """Where each state goes by each symbol, 0 if nowhere: a flat table for few symbols, else sorted edges."""
+
+    def __init__(self, edges: np.ndarray, to: np.ndarray, size: int, width: int):
+        self.parts = edges, to, size, width
+        self.edges, self.to, self.width = edges, to, width
+        self.flat = None
+        if width <= 3 + DENSE:
+            self.flat = np.zeros(size, np.int32)
+            self.flat[edges] = to
+            self.flat[PAD::width] = np.arange(0, size, width)  # padding changes nothing
+        self.dtype = np.int32 if self.flat is not None else np.int64
+        # The root's row.
+        self.fresh = np.zeros(width, self.dtype)
+        first = slice(*np.searchsorted(edges, [width, 2 * width]))
+        self.fresh[edges[first] - width] = to[first]
+        self.fresh[PAD] = width
+
+    def follow(self, state: np.ndarray, symbols: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+        np.add(state, symbols, out=at)
+        if self.flat is not None:
+            np.take(self.flat, at, out=out, mode="clip")
+            return
+        place = np.minimum(np.searchsorted(self.edges, at), len(self.edges) - 1)
+        out[:] = np.where(self.edges[place] == at, self.to[place], 0)
+        np.copyto(out, state, where=symbols == PAD)
 
 
 class CrossParser:
@@ -107,15 +130,20 @@ class CrossParser:
             counts.update(Counter(joined[lang].tolist()))
         counts.pop(0, None)
         # A decomposed letter may come apart; the most frequent letters come first, ties by code point.
-        known = sorted(counts, key=lambda p: (-counts[p], p))[:LETTERS]
-        self.symbol = np.full(0x110000, OTHER, np.uint8)
+        known = sorted(counts, key=lambda p: (-counts[p], p))
+        self.symbol = np.full(0x110000, OTHER, np.int32)
         self.symbol[0] = SPACE
         self.symbol[known] = np.arange(3, 3 + len(known))
-        self.tables, self.bits = [], []
+        # Each language has an alphabet of its own, of all letters in its text; others never match.
+        self.tables, self.own, self.bits = [], [], []
         for lang in self.languages:
             symbols = self.symbol[joined[lang]]
-            # What isn't in the alphabet stays out of the automaton, so it never matches.
-            self.tables.append(SuffixAutomaton([int(c) for c in symbols if c != OTHER]).table())
+            letters = np.unique(symbols[symbols > PAD])
+            own = np.full(3 + len(known), OTHER, np.int32)
+            own[[SPACE, PAD]] = SPACE, PAD
+            own[letters] = np.arange(3, 3 + len(letters))
+            self.own.append(own)
+            self.tables.append(SuffixAutomaton(own[symbols].tolist()).transitions(3 + len(letters)))
             self.bits.append(math.log2(len(symbols) + 1))
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,32 +153,30 @@ class CrossParser:
         lengths = np.array([len(s) for s in symbols], np.int64)
         blocks = -(-lengths // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
-        padded = np.full((int(first[-1]), BLOCK), PAD, np.uint8)
+        padded = np.full((int(first[-1]), BLOCK), PAD, np.int32)
         flat = padded.reshape(-1)
         for s, start in zip(symbols, first[:-1] * BLOCK, strict=True):
             flat[start : start + len(s)] = self.symbol[s]
-        columns = np.ascontiguousarray(padded.T).astype(np.int32)
+        columns = np.ascontiguousarray(padded.T)
         owner = np.repeat(np.arange(len(texts)), blocks)
         bits = np.empty((len(texts), len(self.languages)))
         for k, table in enumerate(self.tables):
-            phrases = np.bincount(owner, self.phrases(table, columns), len(texts))
+            phrases = np.bincount(owner, self.phrases(table, np.take(self.own[k], columns)), len(texts))
             bits[:, k] = phrases * self.bits[k] / np.maximum(lengths, 1)
         return bits, has_letter
 
     @staticmethod
-    def phrases(table: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    def phrases(table: Transitions, columns: np.ndarray) -> np.ndarray:
         """Phrases of each block, the started one included."""
-        root = SYMBOLS
-        fresh = table[root : root + SYMBOLS].copy()
+        root, fresh = table.width, table.fresh.copy()
         nowhere = fresh == 0
         fresh[nowhere] = root  # a symbol that matches nowhere is a phrase of its own
-        state = np.full(columns.shape[1], root, np.int32)
+        state = np.full(columns.shape[1], root, table.dtype)
         count = np.ones(columns.shape[1], np.int32)
         at, to = np.empty_like(state), np.empty_like(state)
         missing = np.empty(len(state), bool)
         for symbols in columns:
-            np.add(state, symbols, out=at)
-            np.take(table, at, out=to, mode="clip")
+            table.follow(state, symbols, at, to)
             np.equal(to, 0, out=missing)
             count += missing
             where = np.flatnonzero(missing)
@@ -226,19 +252,17 @@ def identify_language(
     parser = CrossParser(texts, symbols_per_language)
     shared = df.sparkSession.sparkContext.broadcast(
         (parser.languages, parser.bits, np.flatnonzero(parser.symbol != OTHER), parser.symbol[parser.symbol != OTHER],
-         [(np.flatnonzero(t).astype(np.int32), t[t != 0], len(t)) for t in parser.tables])
+         parser.own, [t.parts for t in parser.tables])
     )
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
     kept = [f for f in source.schema.fields if f.name not in ("doc_id", "text")]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, bits, points, symbols, tables = shared.value
+        names, bits, points, symbols, alphabets, tables = shared.value
         own = CrossParser({}, 0)
-        own.languages, own.bits = names, bits
+        own.languages, own.bits, own.own = names, bits, alphabets
         own.symbol[points] = symbols
-        for where, to, size in tables:
-            own.tables.append(np.zeros(size, np.int32))
-            own.tables[-1][where] = to
+        own.tables = [Transitions(*parts) for parts in tables]
         for batch in slices(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = own.predict(texts) if names else [(UNKNOWN_LANGUAGE, 0.0)] * len(texts)

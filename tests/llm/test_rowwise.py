@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -149,6 +150,36 @@ def test_languages_of_odd_texts(spark, odd, empty, odd_texts):
     assert {r.lang_pred for r in language.identify_language(odd, empty).collect()} == {"und"}
 
 
+# languages in several scripts
+
+
+def test_languages_of_several_scripts_keep_all_their_letters():
+    rng = random.Random(12)
+    scripts = {"el": (0x3B1, 17), "ja": (0x3041, 80), "ka": (0x10D0, 33), "ko": (0xAC00, 2000), "ru": (0x430, 32)}
+    scripts |= {"xa": (0x61, 26), "xb": (0x4E00, 3000), "xc": (0x5C00, 1500)}
+    vocabulary = {
+        lang: ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(2, 6))) for _ in range(800)]
+        for lang, (first, n) in scripts.items()
+    }
+
+    def text(lang, n):
+        return " ".join(rng.choices(vocabulary[lang], k=n))
+
+    parser = language.CrossParser({lang: [text(lang, 3000 if lang != "el" else 300)] for lang in scripts}, 30_000)
+    texts = [(lang, text(lang, 40)) for lang in scripts for _ in range(5)]
+    assert [lang for lang, _ in parser.predict([t for _, t in texts])] == [lang for lang, _ in texts]
+    # A flat table and sorted edges say the same.
+    flat = parser.tables[parser.languages.index("ru")]
+    before, language.DENSE = language.DENSE, 0
+    try:
+        sparse = language.Transitions(*flat.parts)
+    finally:
+        language.DENSE = before
+    assert flat.flat is not None and sparse.flat is None
+    columns = np.random.default_rng(1).integers(0, flat.width, (60, 200)).astype(np.int32)
+    assert (parser.phrases(flat, columns) == parser.phrases(sparse, columns)).all()
+
+
 # secrets
 
 
