@@ -6,8 +6,8 @@ outgoing frequencies, checked recursively) are merged into a probabilistic autom
 done for ordinary words. Every long token of every text is scored by how much likelier the best
 credential format is than ordinary text, in bits per character.
 
-Null text counts as empty: no spans. Rows come back one for one. Without labelled credentials in
-the sample only the fixed patterns apply. Offsets are code points, ends exclusive.
+Null text counts as empty: no spans. Rows come back one for one. All documents are labelled; a kind
+with fewer than 8 different credentials in them all gets no format. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from hashlib import sha256
 from math import log, log2, sqrt
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,30 +161,50 @@ def credential_formats(
 ) -> tuple[dict[str, ProbabilisticAutomaton], ProbabilisticAutomaton]:
     """Automata of the labelled credentials of each kind, and of ordinary words.
 
-    They are learned from the documents with the smallest hashed ids, ``sample_documents`` of them,
-    and from ``samples`` different strings of a kind at most.
+    The credentials are those of all documents, the ordinary words those of the ``sample_documents``
+    documents with the smallest hashed ids; of each kind, and of the words, the ``samples`` different
+    strings with the smallest hashes are learned. Each task sends no more than that.
     """
     picked = df.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = sorted({row.doc_id for row in picked.limit(sample_documents).collect()})
-    schema = "kind string, value string"
+    ids = {row.doc_id for row in picked.limit(sample_documents).collect()}
+    schema = pa.schema([("kind", pa.string()), ("hash", pa.int64()), ("value", pa.string())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                found = base_spans(text or "")
-                rows += [(KINDS[span[1]], value) for span, value in found]
-                values = {value for _, value in found}
-                rows += [("", word) for word in WORD.findall(text or "")[:400] if word not in values]
-            yield batch_of(
-                pa.schema([("kind", pa.string()), ("value", pa.string())]), [[k for k, _ in rows], [v for _, v in rows]]
-            )
-
-    labelled = df.where(F.col("doc_id").isin(ids)).select("text").mapInArrow(label, schema).distinct()
+        found: dict[str, dict[str, int]] = {kind: {} for kind in ("", *KINDS)}
+        limits = dict.fromkeys(found, 1 << 63)  # hashes from here on can't be among the smallest
+
+        def add(kind: str, value: str) -> None:
+            hashed = xxhash.xxh64_intdigest(value.encode("utf-8", "replace"), 42)
+            hashed -= (hashed >> 63) << 64
+            if hashed >= limits[kind]:
+                return
+            own = found[kind]
+            own[value] = hashed
+            if len(own) >= 2 * samples + 100:
+                smallest = sorted(own.items(), key=lambda x: (x[1], x[0]))[:samples]
+                found[kind] = dict(smallest)
+                limits[kind] = smallest[-1][1] + 1 if smallest else -1 << 63
+
+        for batch in slices(batches, "text"):
+            for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+                spans = base_spans(text or "")
+                for span, value in spans:
+                    add(KINDS[span[1]], value)
+                if doc_id in ids:
+                    for word in set(WORD.findall(text or "")) - {value for _, value in spans}:
+                        add("", word)
+        rows = [
+            (kind, hashed, value)
+            for kind, own in found.items()
+            for value, hashed in sorted(own.items(), key=lambda x: (x[1], x[0]))[:samples]
+        ]
+        yield batch_of(schema, [list(c) for c in zip(*rows, strict=True)] or [[], [], []])
+
+    labelled = df.select("doc_id", "text").mapInArrow(label, "kind string, hash long, value string").distinct()
     labelled = written(labelled, "labelled-tokens")
     groups: dict[str, list[str]] = {}
     for kind in ("", *KINDS):
-        rows = labelled.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(samples).collect()
+        rows = labelled.where(F.col("kind") == kind).orderBy("hash", "value").limit(samples).collect()
         groups[kind] = [symbols(row.value) for row in rows]
     # Two credentials make no format.
     formats = {kind: ProbabilisticAutomaton(groups[kind]) for kind in KINDS if len(groups[kind]) >= 8}

@@ -230,6 +230,14 @@ def test_formats_find_what_the_patterns_miss(spark):
     assert all(found[i].n_assign == found[i].n_hex == 1 and not found[i].n_inferred for i in range(60))
 
 
+def test_formats_are_learned_from_rare_credentials(spark):
+    rng = random.Random(13)
+    keys = ["".join(rng.choices("0123456789abcdef", k=32)) for _ in range(12)]
+    rows = [(i, f"plain words of row {i}" + (f" {keys[i // 2000]}" if i % 2000 == 7 else "")) for i in range(24_000)]
+    formats, _ = secrets.credential_formats(spark.createDataFrame(rows, "doc_id long, text string"), 4000, 400)
+    assert list(formats) == ["hex"]
+
+
 def test_secrets_of_odd_texts(odd, empty):
     rows = secrets.secret_spans(odd).collect()
     assert len(rows) == odd.count()
