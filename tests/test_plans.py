@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from checks.queries import QUERIES
 from checks.readings import events
 from gustline.functions import get_conditions
 from gustline.operators import (
@@ -68,7 +69,7 @@ def test_whole_chain_has_two_shuffles(spark):
     assert tree.count("Exchange") == 2
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if not n.startswith(WRITING)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(WRITING)])
 def test_no_python_cross_join_or_single_partition_shuffle_of_rows(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python", "MapInArrow", "ArrowEvalPython"):
