@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gustline.llm.conversations import conversation_reports, damaged, repair_conversations
+from gustline.llm.conversations_sql import CONVERSATION_REPAIR
 from gustline.llm.decontamination import decontaminate
 from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import identify_language
@@ -121,3 +123,12 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, times = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_reports(repair_conversations(rows, times))
+
+
+ORACLES["op11_conversation_repair"] = CONVERSATION_REPAIR

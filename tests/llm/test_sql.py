@@ -10,7 +10,7 @@ from tests.llm.conftest import SF_DIR
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in "documents benchmark embeddings".split():
+    for table in "documents benchmark embeddings conversations".split():
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     found = queries.QUERIES[name](spark, SF_DIR)
     expected = duck.sql(queries.ORACLES[name])
