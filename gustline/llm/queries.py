@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from gustline.llm.conversations import conversation_reports, damaged, repair_conversations
 from gustline.llm.conversations_sql import CONVERSATION_REPAIR
 from gustline.llm.decontamination import decontaminate
+from gustline.llm.fingerprints import fingerprints_of_edits
+from gustline.llm.fingerprints_sql import FINGERPRINTS
 from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import identify_language
 from gustline.llm.line_templates import drop_recurring_lines
@@ -132,3 +134,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_conversation_repair"] = CONVERSATION_REPAIR
+
+
+@query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints_of_edits(table(spark, sf_dir, "documents"))
+    return found.withColumn("edited", F.sha2("edited", 256)).withColumnRenamed("edited", "edited_sha256")
+
+
+ORACLES["op13_fingerprints"] = FINGERPRINTS
