@@ -13,6 +13,7 @@ from gustline.llm.conversations_sql import CONVERSATION_REPAIR
 from gustline.llm.decontamination import decontaminate
 from gustline.llm.fingerprints import fingerprints_of_edits
 from gustline.llm.fingerprints_sql import FINGERPRINTS
+from gustline.llm.hard_negatives import hard_negatives
 from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import identify_language
 from gustline.llm.line_templates import drop_recurring_lines
@@ -143,3 +144,39 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_fingerprints"] = FINGERPRINTS
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector, label = F.col("embedding").cast("array<double>"), F.col("label").cast("long")
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.when(fine, F.transform(vector, lambda x: F.floor(x * 256))).alias("vector"),
+    )
+    return hard_negatives(rows, anchors="vec_id % 50 = 0", positives=5, negatives=3, low=50, high=95)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+           CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM usable a JOIN usable r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
