@@ -40,6 +40,7 @@ from gustline.operators import (
     with_date,
 )
 from gustline.plans import (
+    Flow,
     LayerTables,
     cleansed_layer_transform,
     cleansing_statistics,
@@ -49,9 +50,12 @@ from gustline.plans import (
     ingestion_layer_transform,
     parquet_tables,
     quarantine_layer_transform,
+    run_flow,
+    run_layer,
     run_layers,
     shared_folder,
 )
+from gustline.plans import merge_deliveries as merge_into
 from gustline.sinks import Writer
 from gustline.sources import Reader, read_csv_directory
 
@@ -682,3 +686,134 @@ def full_flow_statistics(spark, sf_dir):
     """CSV files through layer tables partitioned by day; what cleansing removed."""
     _, statistics = _run(spark, sf_dir, daily_parquet_tables)
     return statistics
+
+
+# ---------------------------------------------------------------- repeated runs, deliveries and single layers
+
+
+def _delivered(spark: SparkSession, sf_dir: str, broken: tuple[str, ...] = ()) -> DataFrame:
+    """Raw readings whose power can't be read on the named days."""
+    power = F.when(F.substring("timestamp", 1, 10).isin(*broken), "broken").otherwise(F.col("power_output"))
+    return raw_readings(spark, sf_dir).withColumn("power_output", power)
+
+
+_LAYER_COLUMNS = "timestamp, turbine_id, wind_speed, wind_direction, power_output"
+
+
+@query(
+    f"""
+    WITH ingestion AS (
+             SELECT * REPLACE (CASE WHEN CAST(timestamp AS DATE) = DATE '2024-01-13' THEN NULL ELSE power_output END
+                               AS power_output)
+             FROM ({INGESTED_SQL})),
+         cleansed AS (SELECT DISTINCT * FROM ingestion WHERE {VALID_SQL}),
+         quarantine AS (SELECT DISTINCT * FROM ingestion WHERE ({VALID_SQL}) IS NOT TRUE)
+    SELECT 'cleansed' AS layer, {_LAYER_COLUMNS} FROM cleansed
+    UNION ALL SELECT 'quarantine', {_LAYER_COLUMNS} FROM quarantine
+    UNION ALL SELECT 'curated', CAST(CAST(timestamp AS DATE) AS TIMESTAMP), turbine_id, NULL, NULL, max(power_output)
+    FROM cleansed GROUP BY turbine_id, CAST(timestamp AS DATE)
+    """
+)
+def replace_period(spark, sf_dir):
+    """Three days are delivered with broken power, then a period again: those corrected, another day broken."""
+    root = shared_folder(spark, "replaced")
+    tables = daily_parquet_tables(f"{root}/tables")
+    again = {"start_date": "2024-01-09", "end_date": "2024-01-15"}
+    versions = ((("2024-01-10", "2024-01-11", "2024-01-12"), None), (("2024-01-13",), again))
+    for i, (broken, period) in enumerate(versions):
+        _delivered(spark, sf_dir, broken).write.csv(f"{root}/raw{i}", header=True)
+        spec = {"format": "csv", "read_options": {"path": f"{root}/raw{i}"}}
+        run_layers(spark, spec, tables, date_filter=period, audit_time=_audit_time())
+    columns = _LAYER_COLUMNS.split(", ")
+    parts = [
+        tables.read(spark, layer).select(F.lit(layer).alias("layer"), *columns) for layer in ("cleansed", "quarantine")
+    ]
+    curated = tables.read(spark, "curated").select(
+        F.lit("curated").alias("layer"),
+        F.col("date").cast("timestamp").alias("timestamp"),
+        "turbine_id",
+        F.lit(None).cast("double").alias("wind_speed"),
+        F.lit(None).cast("int").alias("wind_direction"),
+        F.col("max_power_output").alias("power_output"),
+    )
+    return unzoned(parts[0].unionByName(parts[1]).unionByName(curated))
+
+
+# Days, hour of the run, and what each delivery adds to the power, so that versions differ.
+DELIVERIES = (("2024-01-01", "2024-01-14", 1), ("2024-01-20", "2024-01-31", 3), ("2024-01-10", "2024-01-22", 2))
+
+
+def _delivery_sql(first: str, last: str, number: int) -> str:
+    return f"""
+        SELECT * REPLACE (power_output + {number} AS power_output,
+                          TIMESTAMP '2024-02-01 0{number}:00:00' AS metadata_datetime_created)
+        FROM ({INGESTED_SQL}) WHERE timestamp IS NULL OR CAST(timestamp AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'
+    """
+
+
+@query(
+    f"""
+    SELECT * FROM ({" UNION ALL ".join(_delivery_sql(*d) for d in DELIVERIES)})
+    QUALIFY row_number() OVER (
+        PARTITION BY turbine_id, timestamp,
+                     CASE WHEN timestamp IS NULL THEN row(wind_speed, wind_direction, power_output) END
+        ORDER BY metadata_datetime_created DESC, wind_speed DESC NULLS LAST, wind_direction DESC NULLS LAST,
+                 power_output DESC NULLS LAST) = 1
+    """
+)
+def merge_deliveries(spark, sf_dir):
+    """Deliveries that overlap, the newest not last, merged one by one; rows without a time come in each."""
+    tables = daily_parquet_tables(shared_folder(spark, "merged"))
+    for first, last, number in DELIVERIES:
+        typed = ingestion_layer_transform(
+            raw_readings(spark, sf_dir), audit_time=F.lit(f"2024-02-01 0{number}:00:00").cast("timestamp")
+        ).withColumn("power_output", F.col("power_output") + number)
+        part = filter_ingestion_period(typed, "timestamp", first, last, keep_unparseable=True)
+        merge_into(spark, part, tables, ["turbine_id", "timestamp"])
+    return unzoned(tables.read(spark, "ingestion"))
+
+
+def _period_run(spark: SparkSession, sf_dir: str, root: str) -> tuple[Flow, dict]:
+    raw_readings(spark, sf_dir).write.csv(f"{root}/raw", header=True)
+    schema = CURATED_SCHEMA | {"turbine_id": "BIGINT"}
+    flow = Flow(parquet_tables(f"{root}/tables"), curated_schema=schema, audit_time=_audit_time())
+    return flow, {"format": "csv", "read_options": {"path": f"{root}/raw"}}
+
+
+@query(f"{FLOW_SQL} SELECT * REPLACE (CAST(turbine_id AS BIGINT) AS turbine_id) FROM curated")
+def layer_by_layer(spark, sf_dir):
+    """Each layer by itself; then a recorded run and the same again, which must find nothing left to do."""
+    root = shared_folder(spark, "layer-by-layer")
+    flow, raw = _period_run(spark, sf_dir, root)
+    for layer in ("ingestion", "cleansed", "quarantine"):
+        run_layer(spark, layer, flow, raw, PERIOD)
+    run_layer(spark, "curated", flow, date_filter=PERIOD)
+    alone = flow.tables.read(spark, "curated")
+    again = Flow(parquet_tables(f"{root}/again"), curated_schema=flow.curated_schema, audit_time=_audit_time())
+    for _ in range(2):
+        run_flow(spark, again, raw, PERIOD, run_id="one")
+    # Both ways give every row once.
+    both = alone.unionByName(again.tables.read(spark, "curated")).groupBy(*alone.columns).count()
+    return rounded(both.where("count = 2").drop("count"), "mean_power_output")
+
+
+@query(
+    f"""
+    {FLOW_SQL},
+         counts AS (SELECT (SELECT count(*) FROM ({INGESTED_SQL})) AS delivered,
+                           (SELECT count(*) FROM ({INGESTED_SQL}) WHERE timestamp IS NULL) AS unreadable,
+                           (SELECT count(*) FROM ingestion) AS seen,
+                           (SELECT count(*) FROM ingestion WHERE {VALID_SQL}) AS kept,
+                           (SELECT count(*) FROM cleansed) AS unique_rows)
+    SELECT 'outside_period' AS step, delivered AS rows_in, delivered - unreadable - seen AS rows_removed,
+           seen + unreadable AS rows_out FROM counts
+    UNION ALL SELECT 'unreadable_time', seen + unreadable, unreadable, seen FROM counts
+    UNION ALL SELECT 'filter', seen, seen - kept, kept FROM counts
+    UNION ALL SELECT 'deduplicate', kept, kept - unique_rows, unique_rows FROM counts
+    """
+)
+def period_statistics(spark, sf_dir):
+    """What the period, the rules and the de-duplication remove, counted while the layers are written."""
+    flow, raw = _period_run(spark, sf_dir, shared_folder(spark, "period"))
+    run = run_flow(spark, flow, raw, PERIOD)
+    return run.period_statistics.unionByName(run.statistics)

@@ -2,24 +2,14 @@
 
 from gustline.functions import get_conditions, lenient_cast
 from gustline.operators import *  # noqa: F403
-from gustline.plans import (
-    LayerTables,
-    cleansed_layer_transform,
-    cleansing_statistics,
-    curated_layer_transform,
-    daily_parquet_tables,
-    etl,
-    ingestion_layer_transform,
-    parquet_tables,
-    quarantine_layer_transform,
-    run_layers,
-    shared_folder,
-)
+from gustline.plans import *  # noqa: F403
 from gustline.sinks import Writer
 from gustline.sources import (
     Reader,
+    day_predicates,
     get_all_csv_files,
     get_postgresql_options,
+    header_catalogue,
     partitioned_read,
     read_csv_directory,
 )

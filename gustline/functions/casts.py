@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustline.functions.zones import instant
+
 _BLANK = r"[\x00-\x20\x7F]*"
 _WITH_DIGITS = rf"^{_BLANK}[+-]?[0-9]+(\.[0-9]*)?{_BLANK}$"
 _FRACTION_ONLY = rf"^{_BLANK}[+-]?\.[0-9]*{_BLANK}$"
@@ -13,14 +15,17 @@ _WORDS = "(?i)^(nan|inf)"
 _INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
-def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
+def lenient_cast(column: Column, source: T.DataType, target: T.DataType, zone: str | None = None) -> Column:
     """``column`` as ``target``; NULL where the value has no such reading.
 
     Text becomes an integer by dropping its fraction (``'45.7'`` is 45, ``'1e2'`` is NULL).
-    A number outside the target's range, or NaN as an integer, is NULL.
+    A number outside the target's range, or NaN as an integer, is NULL. Times without a zone are read in
+    ``zone`` if one is given, else in the session's.
     """
     if source == target:
         return column
+    if zone and isinstance(target, T.TimestampType):
+        return instant(column, source, zone)
     if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
         return _text_to_integer(column, target)
     if isinstance(source, T.StringType) and isinstance(target, (T.DoubleType, T.FloatType)):

@@ -1,4 +1,11 @@
-from gustline.operators.periods import filter_ingestion_period, with_date
+from gustline.operators.periods import (
+    day_of,
+    filter_ingestion_period,
+    period_days,
+    period_metrics,
+    today_in,
+    with_date,
+)
 from gustline.operators.quality import (
     audit_null_rows,
     constraint_violations,
@@ -29,16 +36,20 @@ __all__ = [
     "cast_ingestion_schema",
     "constraint_violations",
     "daily_statistics",
+    "day_of",
     "drop_duplicate_rows",
     "filter_ingestion_period",
     "flag_anomalies",
     "keep_invalid",
     "keep_valid",
     "min_max",
+    "period_days",
+    "period_metrics",
     "preview",
     "require_columns",
     "schema_drift_report",
     "table_column_metadata",
+    "today_in",
     "validation_statistics",
     "with_date",
 ]

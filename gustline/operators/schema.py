@@ -26,11 +26,13 @@ def cast_columns(
     schema: dict[str, str],
     skip: Iterable[str] = (),
     project: bool = False,
+    zone: str | None = None,
 ) -> DataFrame:
     """Cast the columns named in ``schema`` in one projection.
 
     Values that do not convert become NULL. Columns outside the schema keep their place and
-    type, unless ``project`` asks for the schema's columns only, in its order.
+    type, unless ``project`` asks for the schema's columns only, in its order. Times without a zone
+    are read in ``zone`` (default: the session's).
     """
     skipped = set(skip)
     wanted = {name: declared for name, declared in schema.items() if name not in skipped}
@@ -41,7 +43,7 @@ def cast_columns(
         column = quoted(field.name)
         if field.name not in targets:
             return column
-        return lenient_cast(column, field.dataType, targets[field.name]).alias(field.name)
+        return lenient_cast(column, field.dataType, targets[field.name], zone).alias(field.name)
 
     fields = df.schema.fields
     if project:
@@ -53,10 +55,10 @@ def cast_columns(
 
 
 def cast_ingestion_schema(
-    df: DataFrame, schema: dict[str, str], skip_columns: Iterable[str] | None = None
+    df: DataFrame, schema: dict[str, str], skip_columns: Iterable[str] | None = None, zone: str | None = None
 ) -> DataFrame:
     """Raw readings to declared types; ``skip_columns`` may be absent or stay as they are."""
-    return cast_columns(df, schema, skip=skip_columns or ())
+    return cast_columns(df, schema, skip=skip_columns or (), zone=zone)
 
 
 def cast_cleansed_schema(df: DataFrame, schema: dict[str, str]) -> DataFrame:

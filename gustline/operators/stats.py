@@ -13,7 +13,11 @@ from gustline.operators.periods import with_date
 
 
 def daily_statistics(
-    df: DataFrame, entity: str = ENTITY, event_time: str = EVENT_TIME, measure: str = MEASURE
+    df: DataFrame,
+    entity: str = ENTITY,
+    event_time: str = EVENT_TIME,
+    measure: str = MEASURE,
+    zone: str | None = None,
 ) -> DataFrame:
     """Mean, minimum, maximum and population standard deviation per entity and day.
 
@@ -22,7 +26,7 @@ def daily_statistics(
     """
     value = quoted(measure)
     return (
-        with_date(df, event_time)
+        with_date(df, event_time, zone=zone)
         .groupBy(quoted(entity), "date")
         .agg(
             F.mean(value).alias(f"mean_{measure}"),

@@ -1,4 +1,4 @@
-from gustline.plans.flow import LayerTables, daily_parquet_tables, etl, parquet_tables, run_layers
+from gustline.plans.flow import etl
 from gustline.plans.layers import (
     cleansed_layer_transform,
     cleansing_statistics,
@@ -6,9 +6,15 @@ from gustline.plans.layers import (
     ingestion_layer_transform,
     quarantine_layer_transform,
 )
-from gustline.plans.shared_folder import shared_folder
+from gustline.plans.merge import latest_versions, merge_deliveries
+from gustline.plans.runs import Flow, FlowRun, LayerRun, period_statistics, run_flow, run_layer, run_layers
+from gustline.plans.tables import LayerTables, daily_parquet_tables, parquet_tables, remove_partitions
+from gustline.sources import shared_folder
 
 __all__ = [
+    "Flow",
+    "FlowRun",
+    "LayerRun",
     "LayerTables",
     "cleansed_layer_transform",
     "cleansing_statistics",
@@ -16,8 +22,14 @@ __all__ = [
     "daily_parquet_tables",
     "etl",
     "ingestion_layer_transform",
+    "latest_versions",
+    "merge_deliveries",
     "parquet_tables",
+    "period_statistics",
     "quarantine_layer_transform",
+    "remove_partitions",
+    "run_flow",
+    "run_layer",
     "run_layers",
     "shared_folder",
 ]

@@ -1,38 +1,18 @@
-"""Source to sink, one step or all four layers."""
+"""Source to sink in one step."""
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from typing import Any
+from collections.abc import Callable
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from gustline.defaults import AUDIT, DEFAULT_RULES, EVENT_TIME, READING_SCHEMA
-from gustline.operators import filter_ingestion_period, with_date
-from gustline.plans.layers import (
-    cleansed_layer_transform,
-    cleansing_statistics,
-    curated_layer_transform,
-    ingestion_layer_transform,
-    quarantine_layer_transform,
-)
+from gustline.plans.tables import Spec, within_period
 from gustline.sinks import Writer
-from gustline.sources import Reader, read_csv_directory
+from gustline.sources import Reader
 
-Spec = Mapping[str, Any]
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def _within_period(df: DataFrame, date_filter: Spec | None, default_column: str) -> DataFrame:
-    if not date_filter:
-        return df
-    return filter_ingestion_period(df, **{"filter_column": default_column, **date_filter})
-
-
 def etl(
     spark: SparkSession,
     reader: Spec,
@@ -43,155 +23,8 @@ def etl(
     """Read, keep the period if one is given, transform if asked to, write.
 
     ``date_filter`` holds the arguments of ``filter_ingestion_period``; its column defaults to
-    ``ingestion_date``. A folder of CSV files with header lines is bound by name, file by file. The
-    session stays the caller's.
+    ``ingestion_date``. CSV files with header lines are bound by name, file by file (see ``Reader``).
+    The session stays the caller's.
     """
-    rows = _within_period(_named_rows(spark, reader), date_filter, "ingestion_date")
+    rows = within_period(Reader.get_reader(reader).extract(spark), date_filter, "ingestion_date")
     Writer.get_writer(writer).load(rows.transform(transform) if transform else rows)
-
-
-@dataclass(frozen=True)
-class LayerTables:
-    """The tables of the four layers, each a spec that serves as source and as sink.
-
-    ``day_column`` names an extra column for the tables of readings: the day of the event time,
-    to partition them by. A period is then a choice of partitions.
-    """
-
-    ingestion: Spec
-    cleansed: Spec
-    quarantine: Spec
-    curated: Spec
-    day_column: str | None = None
-
-    def read(self, spark: SparkSession, layer: str) -> DataFrame:
-        """A layer's rows, without the day they are stored under."""
-        rows = Reader.get_reader(getattr(self, layer)).extract(spark)
-        return rows.drop(self.day_column) if self.day_column else rows
-
-    def readings(self, spark: SparkSession, layer: str, date_filter: Spec | None) -> DataFrame:
-        """A layer's readings of one period."""
-        if not self.day_column:
-            return _within_period(self.read(spark, layer), date_filter, EVENT_TIME)
-        rows = Reader.get_reader(getattr(self, layer)).extract(spark)
-        if date_filter and date_filter.get("filter_column", EVENT_TIME) == EVENT_TIME:
-            date_filter = {**date_filter, "filter_column": self.day_column}
-        return _within_period(rows, date_filter, self.day_column).drop(self.day_column)
-
-    def write_readings(self, layer: str, rows: DataFrame, counted: Observation | None = None) -> None:
-        """Write a layer's readings, with their day if the tables are partitioned by it."""
-        stored = with_date(rows, name=self.day_column) if self.day_column else rows
-        Writer.get_writer(getattr(self, layer)).load(stored, counted)
-
-    def create_views(self, spark: SparkSession) -> None:
-        """Temporary views ``ingestion_table``, ``cleansed_table`` and so on, for SQL."""
-        for layer in ("ingestion", "cleansed", "quarantine", "curated"):
-            self.read(spark, layer).createOrReplaceTempView(f"{layer}_table")
-
-
-def parquet_tables(root: str, mode: str = "append") -> LayerTables:
-    """The four tables as Parquet folders below ``root``."""
-    names = ("ingestion", "cleansed", "quarantine", "curated")
-    return LayerTables(*({"format": "parquet", "path": f"{root}/{name}", "mode": mode} for name in names))
-
-
-def daily_parquet_tables(root: str, day_column: str = "day") -> LayerTables:
-    """Parquet folders partitioned by day, in which a run replaces the days it produces.
-
-    Running a period again gives the same tables, provided the raw files still hold its days.
-    """
-    replacing = {"format": "parquet", "mode": "overwrite", "partitionOverwriteMode": "dynamic"}
-    readings = (
-        {**replacing, "path": f"{root}/{name}", "partition_by": [day_column]}
-        for name in ("ingestion", "cleansed", "quarantine")
-    )
-    curated = {**replacing, "path": f"{root}/curated", "partition_by": ["date"]}
-    return LayerTables(*readings, curated, day_column)
-
-
-def run_layers(
-    spark: SparkSession,
-    raw: Spec | DataFrame,
-    tables: LayerTables,
-    schema: dict[str, str] = READING_SCHEMA,
-    date_filter: Spec | None = None,
-    dynamic_conditions: Iterable[str] | None = None,
-    rules: Iterable[str] = DEFAULT_RULES,
-    dedupe_keys: Sequence[str] | None = None,
-    audit_time: Column | None = None,
-) -> DataFrame:
-    """Raw readings through ingestion, cleansed and quarantine side by side, and curated.
-
-    ``raw`` is a frame of text columns or a source spec; a CSV spec names a directory. The
-    period filter applies to every layer that holds readings. Returns the statistics of the
-    cleansed layer, which are computed only if used.
-
-    The raw text is read and cast once. Each layer reads the written table before it, so a lost
-    executor costs a recomputation from columnar files, never from the raw text, and all layers
-    see one audit time. With ``dedupe_keys`` the cleansed layer takes the latest ingested
-    version of a reading that was delivered in several runs.
-    """
-    rules, dynamic = list(rules), list(dynamic_conditions or ())
-    if not isinstance(raw, DataFrame):
-        _refuse_partial_days(raw, tables)
-        raw = _raw_rows(spark, raw, [name for name in schema if name != AUDIT])
-
-    delivered = _within_period(raw, date_filter, EVENT_TIME)
-    tables.write_readings("ingestion", ingestion_layer_transform(delivered, schema, audit_time=audit_time))
-    # One frame for both splits and the statistics: the table's files are listed once.
-    ingested = tables.readings(spark, "ingestion", date_filter)
-    written = Observation()
-
-    def cleanse() -> None:
-        latest_by = AUDIT if dedupe_keys else None
-        valid = cleansed_layer_transform(ingested, schema, dynamic, rules, dedupe_keys, latest_by)
-        tables.write_readings("cleansed", valid, written)
-
-    def quarantine() -> None:
-        tables.write_readings("quarantine", quarantine_layer_transform(ingested, schema, dynamic, rules))
-
-    with ThreadPoolExecutor(max_workers=2) as both:
-        jobs = [both.submit(inheritable_thread_target(spark)(step)) for step in (cleanse, quarantine)]
-        for job in jobs:
-            job.result()
-
-    cleansed = tables.readings(spark, "cleansed", date_filter)
-    Writer.get_writer(tables.curated).load(curated_layer_transform(cleansed))
-
-    sink = Writer.get_writer(tables.cleansed)
-    # In mode "ignore" nothing may have been written, so the write counts nothing.
-    unique = written.get["rows"] if sink.counts and sink.mode != "ignore" else None
-    return cleansing_statistics(ingested, schema, dynamic, rules, dedupe_keys, unique)
-
-
-# Source options by which a scan sees a part of the files only.
-PARTIAL_SCAN_OPTIONS = ("modifiedAfter", "modifiedBefore", "pathGlobFilter")
-
-
-def _refuse_partial_days(raw: Spec, tables: LayerTables) -> None:
-    """``ValueError`` where a run would replace whole days by the readings of some of their files."""
-    if tables.day_column and str(tables.ingestion.get("mode", "")).lower() == "overwrite":
-        options = {key.lower() for key, value in Reader.get_reader(raw).options.items() if value is not None}
-        partial = [name for name in PARTIAL_SCAN_OPTIONS if name.lower() in options]
-        if partial:
-            raise ValueError(f"Days would be replaced by a part of their files: {partial}")
-
-
-def _named_rows(spark: SparkSession, spec: Spec) -> DataFrame:
-    """A source whose columns are bound by name also where CSV files order them differently."""
-    reader = Reader.get_reader(spec)
-    path = reader.options.get("path", "")
-    header = str(reader.options.get("header", "false")).lower() == "true"
-    folder = isinstance(path, str) and not os.path.splitext(path.rstrip("/"))[1]
-    if reader.format == "csv" and header and folder and reader.schema is None:
-        return read_csv_directory(spark, path, options=reader.options)
-    return reader.extract(spark)
-
-
-def _raw_rows(spark: SparkSession, spec: Spec, required: list[str]) -> DataFrame:
-    reader = Reader.get_reader(spec)
-    if reader.format == "csv":
-        return read_csv_directory(
-            spark, reader.options["path"], required=required, options=reader.options, only_common=True
-        )
-    return reader.extract(spark)

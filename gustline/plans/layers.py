@@ -23,10 +23,14 @@ from gustline.operators import (
 
 
 def ingestion_layer_transform(
-    df: DataFrame, schema: dict[str, str] = READING_SCHEMA, audit: str = AUDIT, audit_time: Column | None = None
+    df: DataFrame,
+    schema: dict[str, str] = READING_SCHEMA,
+    audit: str = AUDIT,
+    audit_time: Column | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Raw text readings to typed readings with the time of the run."""
-    return add_audit_column(cast_ingestion_schema(df, schema, skip_columns=[audit]), audit, audit_time)
+    return add_audit_column(cast_ingestion_schema(df, schema, [audit], zone), audit, audit_time)
 
 
 def _checked(
@@ -86,7 +90,8 @@ def curated_layer_transform(
     entity: str = ENTITY,
     event_time: str = EVENT_TIME,
     measure: str = MEASURE,
+    zone: str | None = None,
 ) -> DataFrame:
     """One row per entity and day: mean, minimum, maximum and the anomaly flag."""
-    daily = daily_statistics(df, entity, event_time, measure)
+    daily = daily_statistics(df, entity, event_time, measure, zone)
     return cast_curated_schema(flag_anomalies(daily, measure), schema)

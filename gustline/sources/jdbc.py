@@ -27,6 +27,20 @@ def get_postgresql_options(database: str, table: str, connection: Mapping[str, A
     }
 
 
+def day_predicates(column: str, first: dt.date, last: dt.date, with_null: bool = False) -> list[str]:
+    """One condition a day of a period: as the ``predicates`` of a JDBC source, each is a task of its own.
+
+    The days are half-open ranges of the column itself, so an index on it serves each of them.
+    ``with_null`` adds a task for the rows without a value.
+    """
+    if last < first:
+        raise ValueError(f"The period ends on {last}, before it begins on {first}")
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    name = '"' + column.replace('"', '""') + '"'
+    ranges = [f"{name} >= '{day}' AND {name} < '{day + dt.timedelta(days=1)}'" for day in days]
+    return ranges + [f"{name} IS NULL"] * with_null
+
+
 def partitioned_read(
     column: str, lower: int | dt.date | dt.datetime, upper: int | dt.date | dt.datetime, partitions: int
 ) -> dict[str, Any]:
