@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,7 @@ from gustline.operators import (
     cast_ingestion_schema,
     constraint_violations,
     daily_statistics,
+    declared_violations,
     drop_duplicate_rows,
     filter_ingestion_period,
     keep_valid,
@@ -53,6 +55,7 @@ from gustline.plans import (
     run_flow,
     run_layer,
     run_layers,
+    run_report,
     shared_folder,
 )
 from gustline.plans import merge_deliveries as merge_into
@@ -468,6 +471,41 @@ def constraint_violations_query(spark, sf_dir):
     )
 
 
+def _surplus_sql(*names: str) -> str:
+    whole = " AND ".join(f"{name} IS NOT NULL" for name in names)
+    return f"""(SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+                FROM (SELECT count(*) AS n FROM r WHERE {whole} GROUP BY {", ".join(names)}))"""
+
+
+@query(
+    f"""
+    WITH r AS ({TYPED_SQL})
+    SELECT 'PRIMARY KEY' AS "constraint", 'turbine_id, timestamp' AS columns,
+           {_surplus_sql("turbine_id", "timestamp")} AS violating_rows
+    UNION ALL SELECT 'UNIQUE', 'turbine_id, wind_speed', {_surplus_sql("turbine_id", "wind_speed")}
+    UNION ALL SELECT 'UNIQUE', 'power_output', {_surplus_sql("power_output")}
+    UNION ALL SELECT 'NOT NULL', c, (SELECT count(*) FROM r WHERE turbine_id IS NULL OR timestamp IS NULL)
+              FROM (VALUES ('turbine_id'), ('timestamp')) AS t(c)
+    UNION ALL SELECT 'NOT NULL', 'metadata_datetime_created',
+                     (SELECT count(*) FROM r WHERE metadata_datetime_created IS NULL)
+    UNION ALL SELECT 'CHECK', 'wind_speed BETWEEN 0 AND 25',
+                     (SELECT count(*) FROM r WHERE NOT (wind_speed BETWEEN 0 AND 25))
+    UNION ALL SELECT 'CHECK', 'power_output >= 0 OR wind_direction < 90',
+                     (SELECT count(*) FROM r WHERE NOT (power_output >= 0 OR wind_direction < 90))
+    """
+)
+def declared_constraints(spark, sf_dir):
+    """Constraints as a table definition spells them, several keys among them, in one scan."""
+    declared = [
+        "PRIMARY KEY (turbine_id, timestamp)",
+        'CONSTRAINT one_speed UNIQUE ("turbine_id", wind_speed)',
+        "UNIQUE (power_output)",
+        "CHECK (wind_speed BETWEEN 0 AND 25)",
+        "CONSTRAINT power CHECK (power_output >= 0 OR wind_direction < 90)",
+    ]
+    return declared_violations(_typed(spark, sf_dir), declared, READING_SCHEMA)
+
+
 # ---------------------------------------------------------------- statistics and reports
 
 
@@ -576,46 +614,56 @@ def table_column_metadata_query(spark, sf_dir):
     return table_column_metadata(_table(spark, sf_dir, "documents"), measure_lengths=True)
 
 
-# ---------------------------------------------------------------- the same reports as SQL over views
+# ---------------------------------------------------------------- the same reports as SQL over the layer tables
+
+
+def _stored(spark: SparkSession, layer: str, rows: DataFrame) -> LayerTables:
+    """Layer tables of which one has been written."""
+    tables = parquet_tables(shared_folder(spark, "reports"))
+    Writer.get_writer(getattr(tables, layer)).load(rows)
+    return tables
 
-NULL_AUDIT = """
+
+@query(
+    f"""
+    WITH ingestion_table AS ({TYPED_SQL})
     SELECT * FROM ingestion_table
     WHERE timestamp IS NULL OR turbine_id IS NULL OR wind_speed IS NULL OR wind_direction IS NULL
        OR power_output IS NULL OR metadata_datetime_created IS NULL
-"""
-
-
-@query(f"WITH ingestion_table AS ({TYPED_SQL}) {NULL_AUDIT}")
+    """
+)
 def sql_null_audit(spark, sf_dir):
-    cast_cleansed_schema(_typed(spark, sf_dir), READING_SCHEMA).createOrReplaceTempView("ingestion_table")
-    return unzoned(spark.sql(NULL_AUDIT))
+    tables = _stored(spark, "ingestion", cast_cleansed_schema(_typed(spark, sf_dir), READING_SCHEMA))
+    return unzoned(run_report(spark, tables, "null_audit"))
 
 
-MIN_MAX = """
+@query(
+    f"""
+    WITH cleansed_table AS (SELECT DISTINCT * FROM ({TYPED_SQL}) WHERE {VALID_SQL})
     SELECT min(wind_speed) AS min_wind_speed, max(wind_speed) AS max_wind_speed,
            min(wind_direction) AS min_wind_direction, max(wind_direction) AS max_wind_direction,
            min(power_output) AS min_power_output, max(power_output) AS max_power_output
-    FROM cleansed_table
-"""
-
-
-@query(f"WITH cleansed_table AS (SELECT DISTINCT * FROM ({TYPED_SQL}) WHERE {VALID_SQL}) {MIN_MAX}")
+    FROM cleansed_table WHERE CAST(timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
+    """
+)
 def sql_min_max(spark, sf_dir):
-    cleansed_layer_transform(_typed(spark, sf_dir)).createOrReplaceTempView("cleansed_table")
-    return spark.sql(MIN_MAX)
+    """The three reports of extremes over two weeks, side by side."""
+    tables = _stored(spark, "cleansed", cleansed_layer_transform(_typed(spark, sf_dir)))
+    weeks = {"first_day": dt.date(2024, 1, 8), "last_day": dt.date(2024, 1, 21)}
+    names = ("min_max_wind_speed", "min_max_wind_direction", "min_max_power_output")
+    reports = [run_report(spark, tables, name, **weeks).withColumn("row", F.lit(1)) for name in names]
+    return reports[0].join(reports[1], "row").join(reports[2], "row").drop("row")
 
 
-ANOMALOUS_DAYS = """
-    SELECT turbine_id, count(date) AS anomalous_days
-    FROM curated_table WHERE anomalous_power_output = TRUE
-    GROUP BY turbine_id ORDER BY anomalous_days DESC, turbine_id
-"""
-
-
-@query(f"WITH curated_table AS ({CURATED_EVENTS_SQL}) {ANOMALOUS_DAYS}")
+@query(
+    f"""
+    SELECT turbine_id, count(date) AS anomalous_days FROM ({CURATED_EVENTS_SQL})
+    WHERE anomalous_power_output = TRUE GROUP BY turbine_id ORDER BY anomalous_days DESC, turbine_id
+    """
+)
 def sql_anomalous_days(spark, sf_dir):
-    curated_layer_transform(_event_readings(spark, sf_dir)).createOrReplaceTempView("curated_table")
-    return spark.sql(ANOMALOUS_DAYS)
+    tables = _stored(spark, "curated", curated_layer_transform(_event_readings(spark, sf_dir)))
+    return run_report(spark, tables, "anomalous_days")
 
 
 # ---------------------------------------------------------------- from source to sink

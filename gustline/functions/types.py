@@ -21,7 +21,7 @@ _SPARK_SPELLING = {
     "timestamptz": "timestamp",
 }
 
-_NULLABILITY = re.compile(r"\s+(not\s+)?null$")
+_NULLABILITY = re.compile(r"(\s+(not\s+)?null|\s+primary\s+key|\s+unique)+$")
 _CHARACTER = re.compile(r"^(varchar|char|character)\b")
 _PRECISION = re.compile(r"^(timestamp|timestamptz) ?\( ?\d+ ?\)")
 
@@ -31,7 +31,7 @@ def _normalise(declared: str) -> str:
 
 
 def spark_type_name(declared: str) -> str:
-    """Spark SQL spelling of a declared type, without its nullability suffix.
+    """Spark SQL spelling of a declared type, without the constraints declared after it.
 
     Lengths of character types and precisions of timestamps aren't kept: Spark's have none.
     """
@@ -51,4 +51,4 @@ def spark_type(declared: str) -> T.DataType:
 
 def not_null_columns(schema: dict[str, str]) -> list[str]:
     """Columns declared ``NOT NULL``."""
-    return [name for name, declared in schema.items() if _normalise(declared).endswith(" not null")]
+    return [name for name, declared in schema.items() if re.search(r" not null\b", _normalise(declared))]

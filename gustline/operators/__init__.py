@@ -9,6 +9,8 @@ from gustline.operators.periods import (
 from gustline.operators.quality import (
     audit_null_rows,
     constraint_violations,
+    declared_constraints,
+    declared_violations,
     drop_duplicate_rows,
     keep_invalid,
     keep_valid,
@@ -37,6 +39,8 @@ __all__ = [
     "constraint_violations",
     "daily_statistics",
     "day_of",
+    "declared_constraints",
+    "declared_violations",
     "drop_duplicate_rows",
     "filter_ingestion_period",
     "flag_anomalies",

@@ -7,6 +7,7 @@ from gustline.plans.layers import (
     quarantine_layer_transform,
 )
 from gustline.plans.merge import latest_versions, merge_deliveries
+from gustline.plans.reports import REPORTS, Report, register_report, run_report
 from gustline.plans.runs import Flow, FlowRun, LayerRun, period_statistics, run_flow, run_layer, run_layers
 from gustline.plans.tables import LayerTables, daily_parquet_tables, parquet_tables, remove_partitions
 from gustline.sources import shared_folder
@@ -16,6 +17,8 @@ __all__ = [
     "FlowRun",
     "LayerRun",
     "LayerTables",
+    "REPORTS",
+    "Report",
     "cleansed_layer_transform",
     "cleansing_statistics",
     "curated_layer_transform",
@@ -27,9 +30,11 @@ __all__ = [
     "parquet_tables",
     "period_statistics",
     "quarantine_layer_transform",
+    "register_report",
     "remove_partitions",
     "run_flow",
     "run_layer",
     "run_layers",
+    "run_report",
     "shared_folder",
 ]

@@ -157,9 +157,9 @@ class LayerTables:
         remove_partitions(spark, root, self.partition(layer), stale)
         return stale
 
-    def create_views(self, spark: SparkSession) -> None:
+    def create_views(self, spark: SparkSession, layers: Iterable[str] = LAYERS) -> None:
         """Temporary views ``ingestion_table``, ``cleansed_table`` and so on, for SQL."""
-        for layer in LAYERS:
+        for layer in layers:
             self.read(spark, layer).createOrReplaceTempView(f"{layer}_table")
 
 

@@ -18,7 +18,7 @@ from gustline.operators import (
 from gustline.plans import cleansed_layer_transform, curated_layer_transform, ingestion_layer_transform
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = ("sink_", "src_csv", "etl_", "full_flow", "replace_", "merge_", "layer_", "period_")
+WRITING = ("sink_", "src_csv", "etl_", "full_flow", "replace_", "merge_", "layer_", "period_", "sql_")
 
 
 def plan(df):
