@@ -24,13 +24,14 @@ from gustline.llm.shared import batch_of, documents, slices
 ROUNDS = 10
 KINDS = ("email", "ip", "phone", "card", "date")
 
-# One scan finds what may be a value. Left and right of it stands no letter or digit.
+# One scan finds what may be a value. Left and right of it stands no letter or digit of any script; its own
+# digits are 0 to 9.
 CANDIDATE = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-]))"
-    r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
-    r"|(?P<date>(?<![\w./-])(?:\d{4}([-/.])\d{2}\4\d{2}|\d{2}([./-])\d{2}\5\d{4})(?!\w|[./-]\d))"
-    r"|(?P<phone>(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d))"
+    r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9]))"
+    r"|(?P<date>(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{2}\4[0-9]{2}|[0-9]{2}([./-])[0-9]{2}\5[0-9]{4})(?!\w|[./-][0-9]))"
+    r"|(?P<phone>(?<![\w+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-]))"
+    r"|(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?!\w|[.-][0-9]))"
 )
 # A text without a digit or an @ holds none of these.
 HINT = re.compile(r"[0-9@]")

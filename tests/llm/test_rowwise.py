@@ -56,6 +56,23 @@ def test_any_text_counts_as_in_the_library(library, text):
 # pseudonyms
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("0123456789٢١-. ()/@+aé१"), st.characters(codec="utf-8")), max_size=60))
+def test_any_text_keeps_what_is_no_value(text):
+    changed, spans = pseudonyms.pseudonymised(text, KEY)
+    at = 0
+    for _, start, end in spans:
+        assert at <= start < end <= len(text)
+        at = end
+    assert changed == text if not spans else len(changed) == len(text)
+
+
+def test_digits_of_other_scripts_are_left(spark):
+    text = "7 call ٢١٢-٥٥٥-٠١٤٧ now, or 212-555-0147"
+    changed, spans = pseudonyms.pseudonymised(text, KEY)
+    assert [kind for kind, _, _ in spans] == ["phone"] and changed.startswith("7 call ٢١٢-٥٥٥-٠١٤٧ now, or ")
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 100, 257, 1000])
 def test_feistel_permutes(size):
     assert sorted(pseudonyms.feistel(i, size, KEY, "t") for i in range(size)) == list(range(size))
