@@ -201,7 +201,7 @@ class CrossParser:
 
 
 def labelled_sample(
-    df: DataFrame, lang_col: str, documents_per_language: int, languages: int
+    df: DataFrame, lang_col: str, documents_per_language: int, languages: int, characters_per_document: int
 ) -> dict[str, list[str]]:
     """Texts of the labelled rows with the smallest hash of their id: at most so many for each language.
 
@@ -224,7 +224,7 @@ def labelled_sample(
     rows = (
         labelled.where(F.col("doc_id").isin(sorted({row.doc_id for row in ids})))
         .groupBy("doc_id", "lang")
-        .agg(F.min(F.substring("text", 1, 20_000)).alias("text"))
+        .agg(F.min(F.substring("text", 1, characters_per_document)).alias("text"))
         .collect()
     )
     texts: dict[str, list[str]] = {}
@@ -241,14 +241,16 @@ def identify_language(
     documents_per_language: int = 60,
     symbols_per_language: int = 30_000,
     languages: int = 100,
+    characters_per_document: int = 20_000,
 ) -> DataFrame:
     """Every row of ``df`` with doc_id, the columns ``keep``, lang_pred and score; only the text is looked at.
 
     The automata are fitted on the driver on a bounded sample of ``labelled``: of each language the
     ``documents_per_language`` rows with the smallest hashed id, cut to ``symbols_per_language``
-    symbols in all; at most ``languages`` languages. They are then applied to every whole text.
+    symbols in all, learned from the first ``characters_per_document`` of each text; at most ``languages``
+    languages. They are then applied to every whole text.
     """
-    texts = labelled_sample(labelled, lang_col, documents_per_language, languages)
+    texts = labelled_sample(labelled, lang_col, documents_per_language, languages, characters_per_document)
     parser = CrossParser(texts, symbols_per_language)
     shared = df.sparkSession.sparkContext.broadcast(
         (parser.languages, parser.bits, np.flatnonzero(parser.symbol != OTHER), parser.symbol[parser.symbol != OTHER],
