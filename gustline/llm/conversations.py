@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -57,9 +56,14 @@ def slot(letters: str) -> int:
     return int(letters.translate(TO_DIGITS).ljust(3, "0"), 8)
 
 
-@cache
+KNOWN_MOVES: dict[tuple[str, str], list[tuple[int, int, int, int]]] = {}
+
+
 def moves(initial: str, fault: str) -> list[tuple[int, int, int, int]]:
     """(from, to, cost, digits) of the cheapest way to pass one turn, for each pair of states."""
+    initial = initial if initial in KEPT else ""
+    if (initial, fault) in KNOWN_MOVES:
+        return KNOWN_MOVES[initial, fault]
     best: dict[tuple[int, int], tuple[int, int]] = {}
     extra = TRUNCATED if fault == "t" else 0
     for entry in STATES:
@@ -74,7 +78,8 @@ def moves(initial: str, fault: str) -> list[tuple[int, int, int, int]]:
                 weight = cost + own, slot(letters + letter)
                 best[entry, to] = min(best.get((entry, to), weight), weight)
             state, cost, letters = ADDED[state], cost + INSERT, letters + "I"
-    return [(a, b, *weight) for (a, b), weight in best.items()]
+    KNOWN_MOVES[initial, fault] = [(a, b, *weight) for (a, b), weight in best.items()]
+    return KNOWN_MOVES[initial, fault]
 
 
 # Insertions after the last turn.
