@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.shared import KeyFilter, documents, slices, written
+from gustline.llm.shared import KeyFilter, Shipped, documents, slices, written
 from gustline.llm.word_hashes import U, shingle_sets
 
 BUCKETS = 1 << 18  # of the sketch, whatever the input
@@ -95,6 +95,12 @@ def difference(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def set_nodes(texts: pa.Array, words: int = 5) -> list[int | None]:
+    """The node of each text's set; None without words."""
+    hashes, first = shingle_sets(texts, words)
+    return [node_of(hashes[a:b]) if b > a else None for a, b in zip(first[:-1], first[1:], strict=True)]
+
+
 def counted_sets(df: DataFrame, words: int) -> DataFrame:
     """doc_id, n, node and signature of each document; and rows of bucket and count for the sketch."""
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "node", "bucket", "count")] + [("sign", pa.binary())])
@@ -389,14 +395,14 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     df: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row, and the set's node."""
+    """doc_id, n_shingles and component_id for every row, the set's node and its component (both by the set alone)."""
     spark = df.sparkSession
     docs = documents(df, id_col=id_col, text_col=text_col)
     counted = written(counted_sets(docs, words), "shingle-sets")
     sketch = np.zeros(BUCKETS, np.int64)
     for row in counted.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count")).collect():
         sketch[row[0]] = row[1]
-    order = spark.sparkContext.broadcast(Order(sketch))
+    order = Shipped(spark, Order(sketch))
     nodes = counted.where("bucket IS NULL").select("doc_id", "n", "node", "sign")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,7 +472,7 @@ def near_duplicates(
     def linked(pairs: DataFrame) -> DataFrame:
         """Those pairs of hub and node that reach the similarity, as a and b."""
         wanted = KeyFilter(pairs.select(F.explode(F.array("hub", "node")).alias("node")))
-        wanted = spark.sparkContext.broadcast(wanted)
+        wanted = Shipped(spark, wanted)
 
         def ordered_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -537,9 +543,13 @@ def near_duplicates(
     own = nodes.where("doc_id IS NOT NULL AND n > 0").join(final, "node", "left")
     own = own.select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
     smallest = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = own.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node")
+    linked = own.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node", "component")
     rest = nodes.where("doc_id IS NULL OR n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id"), "node"
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id"),
+        "node",
+        F.col("node").alias("component"),
     )
     return linked.union(rest)
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gustline.llm.shared import batch_of, documents, slices, worker_cache, written
+from gustline.llm.shared import Shipped, batch_of, documents, slices, worker_cache, written
 
 GROUPS = 20  # of large lengths
 PER_BIN = 3  # large pieces are those of which at most so many fit into a sequence
@@ -227,9 +227,10 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        # A full stop or comma between a letter and white space is a token of its own.
+        # A full stop or comma between a letter and white space is a token of its own. Not so after the
+        # one letter whose lower case ends with a mark, which goes together with the stop.
         stop = "[.,](?=[ \n\t\r]|$)"
-        self.words = re.compile(rf"[^\W\d_]+(?={stop})|(?<=[^\W\d_]){stop}|[^ \n\t\r]+").findall
+        self.words = re.compile(rf"[^\W\d_İ]+(?={stop})|(?<=[^\W\d_İ]){stop}|[^ \n\t\r]+").findall
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -295,7 +296,7 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """The pieces with sequence_id and offset. ``pieces`` should be a written table: it is read twice."""
     spark = pieces.sparkSession
     histogram = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}
-    places = spark.sparkContext.broadcast(Places(plan(histogram, capacity)))
+    places = Shipped(spark, Places(plan(histogram, capacity)))
     salts = max(16, -(-sum(histogram.values()) // PER_SALT))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)

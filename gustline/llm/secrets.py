@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.shared import batch_of, documents, slices, written
+from gustline.llm.shared import Shipped, batch_of, documents, slices, written
 
 KINDS = ("assign", "access", "hex")
 INFERRED = "inferred"
@@ -226,7 +226,7 @@ def secret_spans(
     """
     source = documents(df, id_col=id_col, text_col=text_col)
     formats, ordinary = credential_formats(source, sample_documents, samples)
-    shared = df.sparkSession.sparkContext.broadcast((formats, ordinary))
+    shared = Shipped(df.sparkSession, (formats, ordinary))
     schema = pa.schema(
         [("doc_id", pa.int64())]
         + [(f"n_{kind}", pa.int64()) for kind in (*KINDS, INFERRED)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 import sys
 import tempfile
 import types
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +74,22 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
 
 
+class Shipped:
+    """A value that every executor gets once, with the classes of this package in it.
+
+    A plain broadcast names classes by their module, which executors need not have.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "read" not in self.__dict__:
+            self.read = pickle.loads(self.held.value)
+        return self.read
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, field.type)

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
 
 from gustline.llm import packing, queries
 from tests.llm.conftest import SF_DIR
@@ -101,3 +103,19 @@ def test_places_are_distinct():
             new = {(s, o + i) for i in range(length)}
             assert not new & taken
             taken |= new
+
+
+words = packing.WordIds(TOKENIZER)
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(
+        st.text(alphabet=st.one_of(st.sampled_from("aZ İıſK.,!?'9 \n\té漢😀\u0307\u0301"), st.characters(codec="utf-8")), max_size=40),
+        max_size=4,
+    )
+)
+@example(["MESAİ.", "EVİ. VE", "İ,", "aİ. b", "İa."])
+def test_any_text_has_the_librarys_ids(library, texts):
+    for text, ids in zip(texts, words.of(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
