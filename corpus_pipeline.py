@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.llm.decontamination import decontaminate
-from gustline.llm.jaccard_join import near_duplicates
+from gustline.llm.jaccard_join import near_duplicates, set_nodes
 from gustline.llm.language import UNKNOWN_LANGUAGE, identify_language
 from gustline.llm.line_templates import drop_recurring_lines
 from gustline.llm.packing import pack_documents
 from gustline.llm.shared import scratch, table, written
 
+# From this score on, a prediction outweighs a document's label.
+SURE = 0.25
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; every other one has a language."""
+    """Documents without a letter go, and so do those whose text is surely in another language than their label says.
+
+    Documents without a label get the predicted one.
+    """
     others = [F.col(c).alias(f"own_{c}") for c in docs.columns]
     found = identify_language(docs, labelled=docs, keep=others).where(F.col("lang_pred") != UNKNOWN_LANGUAGE)
-    return found.select([F.col(f"own_{c}").alias(c) for c in docs.columns])
+    mislabelled = (F.col("own_lang") != F.col("lang_pred")) & (F.col("score") >= SURE)
+    kept = found.where(~F.coalesce(mislabelled, F.lit(False)))
+    kept = kept.withColumn("own_lang", F.coalesce("own_lang", "lang_pred"))
+    return kept.select([F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,17 +38,20 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the document with the smallest id stays; documents without words stay too.
 
-    Rows without an id belong to no group. Of rows that repeat a document's id and set, one stays.
+    A document is told by its id and its set, as ids may be used again for other texts. Rows without an
+    id belong to no group. Of rows that repeat a document's id and set, one stays.
     """
-    groups = written(near_duplicates(docs), "groups")
-    # A component's smallest id may be repeated with other texts: of those sets one stays.
-    gone = groups.where("doc_id IS NOT NULL AND n_shingles > 0 AND doc_id <> component_id").select("doc_id")
-    # Ids are unique but for repeated rows; those are told apart below.
-    kept = docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
-    repeated = groups.where("doc_id = component_id AND n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    once = again.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(docs.columns).union(once)
+    groups = written(near_duplicates(docs), "groups").where("doc_id IS NOT NULL AND n_shingles > 0")
+    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first")).select("first.*")
+
+    node = F.arrow_udf(lambda texts: pa.array(set_nodes(texts), pa.int64()), "long")
+    marked = docs.withColumn("node", F.when(F.col("doc_id").isNotNull(), node("text")))
+    kept = marked.join(first, ["doc_id", "node"], "left_semi")
+    repeated = groups.groupBy("doc_id", "node").count().where("count > 1").select("doc_id", "node")
+    again = kept.join(repeated, ["doc_id", "node"], "left_semi")
+    once = again.groupBy("doc_id", "node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    single = kept.join(repeated, ["doc_id", "node"], "left_anti").select(docs.columns)
+    return marked.where("node IS NULL").select(docs.columns).union(single).union(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
