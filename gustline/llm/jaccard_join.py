@@ -96,9 +96,12 @@ def difference(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def set_nodes(texts: pa.Array, words: int = 5) -> list[int | None]:
-    """The node of each text's set; None without words."""
-    hashes, first = shingle_sets(texts, words)
-    return [node_of(hashes[a:b]) if b > a else None for a, b in zip(first[:-1], first[1:], strict=True)]
+    """The node of each text's set; None without words. Temporaries stay small, whatever the number of texts."""
+    out: list[int | None] = []
+    for batch in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), "text"):
+        hashes, first = shingle_sets(batch.column("text"), words)
+        out += [node_of(hashes[a:b]) if b > a else None for a, b in zip(first[:-1], first[1:], strict=True)]
+    return out
 
 
 def counted_sets(df: DataFrame, words: int) -> DataFrame:
