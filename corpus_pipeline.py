@@ -43,15 +43,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     groups = written(near_duplicates(docs), "groups").where("doc_id IS NOT NULL AND n_shingles > 0")
     first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first")).select("first.*")
-
+    worded = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     node = F.arrow_udf(lambda texts: pa.array(set_nodes(texts), pa.int64()), "long")
-    marked = docs.withColumn("node", F.when(F.col("doc_id").isNotNull(), node("text")))
-    kept = marked.join(first, ["doc_id", "node"], "left_semi")
-    repeated = groups.groupBy("doc_id", "node").count().where("count > 1").select("doc_id", "node")
-    again = kept.join(repeated, ["doc_id", "node"], "left_semi")
-    once = again.groupBy("doc_id", "node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    single = kept.join(repeated, ["doc_id", "node"], "left_anti").select(docs.columns)
-    return marked.where("node IS NULL").select(docs.columns).union(single).union(once)
+    # One pass over the texts and one shuffle of them: the aggregate finds the rows where the join left them.
+    kept = docs.where(worded).withColumn("node", node("text")).join(first, ["doc_id", "node"], "left_semi")
+    once = kept.groupBy("doc_id", "node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return docs.where(~worded).union(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
