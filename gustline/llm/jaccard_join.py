@@ -95,18 +95,10 @@ def difference(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def set_nodes(texts: pa.Array, words: int = 5) -> list[int | None]:
-    """The node of each text's set; None without words. Temporaries stay small, whatever the number of texts."""
-    out: list[int | None] = []
-    for batch in slices(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]), "text"):
-        hashes, first = shingle_sets(batch.column("text"), words)
-        out += [node_of(hashes[a:b]) if b > a else None for a, b in zip(first[:-1], first[1:], strict=True)]
-    return out
-
-
 def counted_sets(df: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, node and signature of each document; and rows of bucket and count for the sketch."""
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "node", "bucket", "count")] + [("sign", pa.binary())])
+    """doc_id, key, n, node and signature of each document; and rows of bucket and count for the sketch."""
+    names = ("doc_id", "key", "n", "node", "bucket", "count")
+    schema = pa.schema([(c, pa.int64()) for c in names] + [("sign", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(BUCKETS, np.int64)
@@ -118,17 +110,17 @@ def counted_sets(df: DataFrame, words: int) -> DataFrame:
             nodes, signs = [node_of(s) for s in sets], [signature(s) for s in sets]
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(nodes, pa.int64()), none, none]
+                [batch.column("doc_id"), batch.column("key"), pa.array(n), pa.array(nodes, pa.int64()), none, none]
                 + [pa.array(signs, pa.binary())],
                 schema=schema,
             )
         used = np.flatnonzero(sketch)
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(used), pa.array(sketch[used]), pa.nulls(len(used), pa.binary())], schema=schema
+            [none, none, none, none, pa.array(used), pa.array(sketch[used]), pa.nulls(len(used), pa.binary())], schema=schema
         )
 
-    return df.mapInArrow(count, "doc_id long, n long, node long, bucket long, count long, sign binary")
+    return df.mapInArrow(count, "doc_id long, key long, n long, node long, bucket long, count long, sign binary")
 
 
 class Order:
@@ -398,15 +390,17 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     df: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row, the set's node and its component (both by the set alone)."""
+    """doc_id, n_shingles and component_id for every row, the set's node and its component (both by the set
+    alone), and ``key``, a hash of the text that tells rows of one id apart.
+    """
     spark = df.sparkSession
     docs = documents(df, id_col=id_col, text_col=text_col)
-    counted = written(counted_sets(docs, words), "shingle-sets")
+    counted = written(counted_sets(docs.withColumn("key", F.xxhash64("text")), words), "shingle-sets")
     sketch = np.zeros(BUCKETS, np.int64)
     for row in counted.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count")).collect():
         sketch[row[0]] = row[1]
     order = Shipped(spark, Order(sketch))
-    nodes = counted.where("bucket IS NULL").select("doc_id", "n", "node", "sign")
+    nodes = counted.where("bucket IS NULL").select("doc_id", "key", "n", "node", "sign")
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies in one task give one list entry
@@ -544,15 +538,16 @@ def near_duplicates(
 
     # Back to the documents.
     own = nodes.where("doc_id IS NOT NULL AND n > 0").join(final, "node", "left")
-    own = own.select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
+    own = own.select("doc_id", "key", "n", "node", F.coalesce("component", "node").alias("component"))
     smallest = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = own.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node", "component")
+    linked = own.join(smallest, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "node", "component", "key")
     rest = nodes.where("doc_id IS NULL OR n = 0").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).alias("component_id"),
         "node",
         F.col("node").alias("component"),
+        "key",
     )
     return linked.union(rest)
 

@@ -115,7 +115,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("node", "component")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("node", "component", "key")
 
 
 @query
