@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.llm.decontamination import decontaminate
-from gustline.llm.jaccard_join import near_duplicates, set_nodes
+from gustline.llm.jaccard_join import near_duplicates
 from gustline.llm.language import UNKNOWN_LANGUAGE, identify_language
 from gustline.llm.line_templates import drop_recurring_lines
 from gustline.llm.packing import pack_documents
@@ -38,16 +37,15 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates the document with the smallest id stays; documents without words stay too.
 
-    A document is told by its id and its set, as ids may be used again for other texts. Rows without an
-    id belong to no group. Of rows that repeat a document's id and set, one stays.
+    A document is told by its id and a hash of its text, as ids may be used again for other texts. Rows without
+    an id belong to no group. Of rows that repeat a document's id and text, one stays.
     """
     groups = written(near_duplicates(docs), "groups").where("doc_id IS NOT NULL AND n_shingles > 0")
-    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first")).select("first.*")
+    first = groups.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("first")).select("first.*")
     worded = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    node = F.arrow_udf(lambda texts: pa.array(set_nodes(texts), pa.int64()), "long")
-    # One pass over the texts and one shuffle of them: the aggregate finds the rows where the join left them.
-    kept = docs.where(worded).withColumn("node", node("text")).join(first, ["doc_id", "node"], "left_semi")
-    once = kept.groupBy("doc_id", "node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    # One shuffle of the texts: the aggregate finds the rows where the join left them.
+    kept = docs.where(worded).withColumn("key", F.xxhash64("text")).join(first, ["doc_id", "key"], "left_semi")
+    once = kept.groupBy("doc_id", "key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return docs.where(~worded).union(once)
 
 
