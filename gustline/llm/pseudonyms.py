@@ -3,7 +3,9 @@
 Valid values (card numbers by their check digit, calendar dates, IPv4 addresses, North American
 phone numbers, mail addresses) are permuted within their format by a keyed Feistel network. The
 permutation depends on the key and the format only, so equal values stay equal in all documents
-and different values stay different. Numbers that fail validation are left alone.
+and different values stay different. No value keeps its place, but mail names without any letter or
+digit, which have nothing to permute. Cards and dates that fail validation are left alone. Phone numbers
+with an area code or exchange that is never assigned are hidden as well, and get such a pseudonym.
 
 Null text stays null and counts nothing; empty text stays empty. Rows come back one for one.
 """
@@ -37,27 +39,36 @@ CANDIDATE = re.compile(
 HINT = re.compile(r"[0-9@]")
 
 
-def feistel(value: int, size: int, key: bytes, tweak: str) -> int:
-    """A permutation of range(size): Feistel rounds over two halves, walked until back in range."""
+def feistel(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
+    """A permutation of range(size), or its inverse: Feistel rounds over two halves, walked until back in range."""
     if size < 2:
         return value
     a = isqrt(size - 1) + 1
     b = -(-size // a)
     width = max(8, (a.bit_length() + 71) // 8)
+    sign, order = (-1, range(ROUNDS - 1, -1, -1)) if back else (1, range(ROUNDS))
     while True:
         left, right = divmod(value, b)  # left < a, right < b
-        for i in range(ROUNDS):
+        for i in order:
             if i % 2:
                 mixed = keyed(key, f"{tweak}:{size}:{i}:{left}", width)
-                right = (right + mixed) % b
+                right = (right + sign * mixed) % b
             else:
                 mixed = keyed(key, f"{tweak}:{size}:{i}:{right}", width)
-                left = (left + mixed) % a
+                left = (left + sign * mixed) % a
         value = left * b + right
         if value < size:
             return value
 
 
+def moved(value: int, size: int, key: bytes, tweak: str) -> int:
+    """A keyed permutation of range(size) that leaves no value in its place, unless there is only one.
+
+    It is one step along a cycle through all values, in the order that the Feistel network gives.
+    """
+    return feistel((feistel(value, size, key, tweak) + 1) % max(1, size), size, key, tweak, back=True)
+
+
 def keyed(key: bytes, message: str, width: int) -> int:
     if width <= 64:
         return int.from_bytes(blake2b(message.encode(), key=key, digest_size=width).digest())
@@ -80,21 +91,29 @@ def card(text: str, key: bytes) -> str | None:
     digits = re.sub("[^0-9]", "", text)
     if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or not digits.strip("0"):
         return None
-    payload = f"{feistel(int(digits[:-1]), 10 ** (len(digits) - 1), key, 'card'):0{len(digits) - 1}d}"
+    payload = f"{moved(int(digits[:-1]), 10 ** (len(digits) - 1), key, 'card'):0{len(digits) - 1}d}"
     return put_digits(text, payload + luhn_digit(payload))
 
 
 def phone(text: str, key: bytes) -> str | None:
+    """Area codes and exchanges that begin with 0 or 1 (never assigned) become such again, others don't."""
     digits = re.sub("[^0-9]", "", text)
-    changed = f"{feistel(int(digits[-10:]), 10**10, key, 'phone'):010d}"
-    return put_digits(text, digits[:-10] + changed)
+    value, size, classes = 0, 1, []
+    for code in (int(digits[-10:-7]), int(digits[-7:-4])):
+        start, count = (200, 800) if code >= 200 else (0, 200)
+        value, size = value * count + code - start, size * count
+        classes.append((start, count))
+    changed = moved(value * 10_000 + int(digits[-4:]), size * 10_000, key, f"phone:{classes}")
+    changed, line = divmod(changed, 10_000)
+    area, exchange = divmod(changed, classes[1][1])
+    return put_digits(text, f"{digits[:-10]}{area + classes[0][0]:03d}{exchange + classes[1][0]:03d}{line:04d}")
 
 
 def ip(text: str, key: bytes) -> str | None:
     octets = [int(x) for x in text.split(".")]
     if max(octets) > 255:
         return None
-    changed = feistel(int.from_bytes(bytes(octets)), 1 << 32, key, "ip")
+    changed = moved(int.from_bytes(bytes(octets)), 1 << 32, key, "ip")
     return ".".join(map(str, changed.to_bytes(4)))
 
 
@@ -110,7 +129,7 @@ def date(text: str, key: bytes) -> str | None:
     first, last = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
     if not first <= day.toordinal() <= last:
         first, last = 1, datetime.date.max.toordinal()
-    changed = datetime.date.fromordinal(first + feistel(day.toordinal() - first, last - first + 1, key, "date"))
+    changed = datetime.date.fromordinal(first + moved(day.toordinal() - first, last - first + 1, key, "date"))
     parts = [f"{changed.year:04d}", f"{changed.month:02d}", f"{changed.day:02d}"]
     return separator.join(parts if year_first else parts[::-1])
 
@@ -122,7 +141,7 @@ def email(text: str, key: bytes) -> str | None:
     for c in name:
         base, digit = (10, int(c)) if c.isdigit() else (26, ord(c) - 97) if c.isalpha() else (1, 0)
         value, size = value * base + digit, size * base
-    value = feistel(value, size, key, "email:" + re.sub("[a-z]", "a", re.sub("[0-9]", "9", name)) + at + domain)
+    value = moved(value, size, key, "email:" + re.sub("[a-z]", "a", re.sub("[0-9]", "9", name)) + at + domain)
     out = []
     for c in reversed(name):
         base, zero = (10, 48) if c.isdigit() else (26, 97) if c.isalpha() else (1, ord(c))

@@ -2,6 +2,7 @@
 
 import datetime
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -9,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -78,6 +80,30 @@ def test_feistel_permutes(size):
     assert sorted(pseudonyms.feistel(i, size, KEY, "t") for i in range(size)) == list(range(size))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 26, 100, 257, 1000])
+def test_no_value_keeps_its_place(size):
+    changed = [pseudonyms.moved(i, size, KEY, "t") for i in range(size)]
+    assert sorted(changed) == list(range(size))
+    assert size == 1 or all(i != to for i, to in enumerate(changed))
+
+
+def test_phones_stay_valid_and_different():
+    rng = random.Random(3)
+    for first, second in itertools.product(("01", "23456789"), repeat=2):
+        phones = {
+            f"{rng.choice(first)}{rng.randrange(100):02d}-{rng.choice(second)}{rng.randrange(100):02d}-{rng.randrange(10_000):04d}"
+            for _ in range(500)
+        }
+        changed = {p: pseudonyms.phone(p, KEY) for p in phones}
+        assert len(set(changed.values())) == len(phones) and all(p != c for p, c in changed.items())
+        assert all(c[0] in first and c[4] in second for c in changed.values())
+
+
+def test_names_of_one_letter_change():
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        assert pseudonyms.pseudonymised(f"{c}@mail.example.com", KEY)[0][0] != c
+
+
 def test_values_keep_their_format_and_stay_linked():
     text = "Pay 4111-1111 1111 1111 on 2024-02-29 or 31.12.1999, call +1 (212) 555-0147, ask Jo.2@mail.example.com at 10.0.0.7."
     out, spans = pseudonyms.pseudonymised(text, KEY)
@@ -255,6 +281,26 @@ def test_formats_are_learned_from_rare_credentials(spark):
     assert list(formats) == ["hex"]
 
 
+@pytest.mark.parametrize("repeats", [1, 40])
+def test_smallest_hashes_are_found_where_ids_repeat(spark, repeats):
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) AS doc_id").union(spark.createDataFrame([(None,)], "doc_id long"))
+    rows = rows.crossJoin(spark.range(repeats)).drop("id")
+    hashed = rows.where("doc_id IS NOT NULL").distinct().selectExpr("xxhash64(doc_id) AS hash", "doc_id").collect()
+    for n in (0, 5, 700):
+        assert secrets.first_by_hash(rows, n) == {r.doc_id for r in sorted(hashed)[:n]}
+    assert len(secrets.first_by_hash(rows, 10_000)) == len(hashed)
+
+
+def test_the_smallest_hashes_of_each_kind_are_learned(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(secrets, "symbols", lambda value: learned.append(value) or value)
+    keys = [f"AKIA{i:020d}" for i in range(3000)]
+    rows = spark.createDataFrame([(i, f"x {key} y {key}") for i, key in enumerate(keys)], "doc_id long, text string")
+    secrets.credential_formats(rows.repartition(100), 0, 50)
+    hashed = lambda v: (xxhash.xxh64_intdigest(v.encode(), 42) + (1 << 63)) % (1 << 64)
+    assert learned == sorted(keys, key=lambda v: (hashed(v), v))[:50]
+
+
 def test_secrets_of_odd_texts(odd, empty):
     rows = secrets.secret_spans(odd).collect()
     assert len(rows) == odd.count()
