@@ -20,7 +20,7 @@ from math import log, log2, sqrt
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gustline.llm.shared import Shipped, batch_of, documents, slices, written
@@ -156,6 +156,21 @@ class ProbabilisticAutomaton:
         return (cost + sum(CLASS_BITS.get(c, 0.0) for c in sample)) / max(1, len(sample))
 
 
+def first_by_hash(df: DataFrame, n: int) -> set[int]:
+    """The ``n`` different ids with the smallest hashes. About twice as many come to the driver, however many there are.
+
+    Hashes are spread evenly, so a threshold that should leave enough is tried, and doubled where ids repeat.
+    """
+    ids, hashed = df.select("doc_id").where("doc_id IS NOT NULL"), F.xxhash64("doc_id")
+    share = min(1.0, (2 * n + 1000) / max(1, ids.count()))
+    while True:
+        below = ids.where(hashed < F.lit(int(share * (1 << 64)) - (1 << 63))) if share < 1 else ids
+        rows = below.distinct().select("doc_id", hashed.alias("hash")).collect()
+        if len(rows) >= n or share == 1:
+            return {row.doc_id for row in sorted(rows, key=lambda r: (r.hash, r.doc_id))[:n]}
+        share = min(1.0, 2 * share)
+
+
 def credential_formats(
     df: DataFrame, sample_documents: int, samples: int
 ) -> tuple[dict[str, ProbabilisticAutomaton], ProbabilisticAutomaton]:
@@ -163,10 +178,10 @@ def credential_formats(
 
     The credentials are those of all documents, the ordinary words those of the ``sample_documents``
     documents with the smallest hashed ids; of each kind, and of the words, the ``samples`` different
-    strings with the smallest hashes are learned. Each task sends no more than that.
+    strings with the smallest hashes are learned. Each task keeps no more than that, and two rounds of
+    ranks bring them together, so what comes to the driver doesn't grow with the number of tasks.
     """
-    picked = df.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = {row.doc_id for row in picked.limit(sample_documents).collect()}
+    ids = first_by_hash(df, sample_documents)
     schema = pa.schema([("kind", pa.string()), ("hash", pa.int64()), ("value", pa.string())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,10 +217,13 @@ def credential_formats(
 
     labelled = df.select("doc_id", "text").mapInArrow(label, "kind string, hash long, value string").distinct()
     labelled = written(labelled, "labelled-tokens")
-    groups: dict[str, list[str]] = {}
-    for kind in ("", *KINDS):
-        rows = labelled.where(F.col("kind") == kind).orderBy("hash", "value").limit(samples).collect()
-        groups[kind] = [symbols(row.value) for row in rows]
+    for group in ([F.pmod(F.spark_partition_id(), F.lit(64))], []):
+        labelled = labelled.select("kind", "hash", "value", *[g.alias("part") for g in group])
+        nearest = Window.partitionBy("kind", *(["part"] if group else [])).orderBy("hash", "value")
+        labelled = labelled.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= samples)
+    groups: dict[str, list[str]] = {kind: [] for kind in ("", *KINDS)}
+    for row in sorted(labelled.collect(), key=lambda r: (r.kind, r.rank)):
+        groups[row.kind].append(symbols(row.value))
     # Two credentials make no format.
     formats = {kind: ProbabilisticAutomaton(groups[kind]) for kind in KINDS if len(groups[kind]) >= 8}
     return formats, ProbabilisticAutomaton(groups[""] or ["l"])
