@@ -242,9 +242,12 @@ def identify_language(
     symbols_per_language: int = 30_000,
     languages: int = 100,
     characters_per_document: int = 20_000,
+    with_text: bool = False,
 ) -> DataFrame:
     """Every row of ``df`` with doc_id, the columns ``keep``, lang_pred and score; only the text is looked at.
 
+    ``with_text`` gives the text back too, which then passes through the tasks once.
+
     The automata are fitted on the driver on a bounded sample of ``labelled``: of each language the
     ``documents_per_language`` rows with the smallest hashed id, cut to ``symbols_per_language``
     symbols in all, learned from the first ``characters_per_document`` of each text; at most ``languages``
@@ -257,7 +260,7 @@ def identify_language(
          parser.own, [t.parts for t in parser.tables])
     )
     source = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
-    kept = [f for f in source.schema.fields if f.name not in ("doc_id", "text")]
+    kept = [f for f in source.schema.fields if f.name not in (("doc_id",) if with_text else ("doc_id", "text"))]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, bits, points, symbols, alphabets, tables = shared.value
