@@ -22,12 +22,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Documents without a label get the predicted one.
     """
-    others = [F.col(c).alias(f"own_{c}") for c in docs.columns]
-    found = identify_language(docs, labelled=docs, keep=others).where(F.col("lang_pred") != UNKNOWN_LANGUAGE)
+    others = [F.col(c).alias(f"own_{c}") for c in docs.columns if c != "text"]
+    found = identify_language(docs, labelled=docs, keep=others, with_text=True)
+    found = found.where(F.col("lang_pred") != UNKNOWN_LANGUAGE)
     mislabelled = (F.col("own_lang") != F.col("lang_pred")) & (F.col("score") >= SURE)
     kept = found.where(~F.coalesce(mislabelled, F.lit(False)))
     kept = kept.withColumn("own_lang", F.coalesce("own_lang", "lang_pred"))
-    return kept.select([F.col(f"own_{c}").alias(c) for c in docs.columns])
+    return kept.select([F.col(c if c == "text" else f"own_{c}").alias(c) for c in docs.columns])
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
