@@ -71,3 +71,34 @@ def test_odd_vectors(spark):
     found = sorted(tuple(r) for r in neighbours.nearest_neighbours(df, "vec_id % 20 = 0").collect())
     assert found == [(0, 1, 20, 10.0), (0, 2, 1, 5.0), (0, 3, 2, 5.0), (20, 1, 0, 10.0), (20, 2, 1, 10.0), (20, 3, 2, 10.0)]
     assert neighbours.nearest_neighbours(df.limit(0), "vec_id % 20 = 0").count() == 0
+
+
+@pytest.mark.parametrize("clusters", [20, 80])
+def test_windows_of_clusters_do_not_grow_with_the_table(spark, monkeypatch, clusters):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(clusters, 16)) * 5
+    vectors = np.concatenate([c + rng.normal(size=(30, 16)) * 0.1 for c in centres])
+    ids = np.arange(len(vectors))
+    seen = []
+    measure = neighbours.window_needed
+    monkeypatch.setattr(neighbours, "window_needed", lambda *a: seen.append((len(a[2][0]), measure(*a))) or seen[-1][1])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    check(neighbours.nearest_neighbours(df, "vec_id % 20 = 0", block_rows=32).collect(), ids, vectors, 0.9)
+    blocks, window = seen[0]
+    assert blocks >= len(ids) // 32 and window <= 4
+
+
+def test_cells_of_equal_vectors_are_split(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PER_TASK", 50)
+    ids = np.arange(600)
+    vectors = np.where((ids % 3 == 0)[:, None], np.ones(8), np.random.default_rng(6).normal(size=(600, 8)))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    check(neighbours.nearest_neighbours(df, "vec_id % 20 = 0", block_rows=16).collect(), ids, vectors, 0.9)
+
+
+def test_repeated_ids_are_one_item(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (1, [3.0, 0.0]), (1, [0.0, 5.0]), (2, [4.0, 0.0])]
+    rows += [(3, [1.0, 1.0])] * 100
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in neighbours.nearest_neighbours(df, "vec_id % 20 = 0").collect())
+    assert found == [(20, 1, 1, 5.0), (20, 2, 2, 4.0), (20, 3, 3, 1.0)]
