@@ -33,7 +33,7 @@ SPACE, OTHER, PAD = 0, 1, 2
 
 def lower_letters() -> np.ndarray:
     """For each code point its lower-case letter, or 0 if it is none. Made once in each worker."""
-    cache = worker_cache()
+    cache = worker_cache("letters")
     if "letters" not in cache:
         found = np.zeros(0x110000, np.uint32)
         for point in range(0x110000):

@@ -275,7 +275,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, with
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_cache().setdefault("word_ids", {})
+        known = worker_cache("word_ids")
         words = known.get(tokenizer) or known.setdefault(tokenizer, WordIds(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, "text"):

@@ -69,9 +69,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 1 << 20) ->
         yield batch.slice(start)
 
 
-def worker_cache() -> dict:
-    """One dictionary for each Python worker, which lives from task to task where Spark keeps workers."""
-    return sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
+def worker_cache(purpose: str) -> dict:
+    """What one operator keeps in a Python worker, which lives from task to task where Spark keeps workers.
+
+    A worker keeps things for one purpose at a time: what another operator left behind is let go.
+    """
+    held = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
+    if purpose not in held:
+        held.clear()
+        held[purpose] = {}
+    return held[purpose]
 
 
 class Shipped:

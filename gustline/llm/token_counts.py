@@ -124,7 +124,7 @@ def token_counts(df: DataFrame, model: str, limit: int, id_col: str = "doc_id",
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = worker_cache().setdefault("pieces", {})
+        counters = worker_cache("pieces")
         counter = counters.get(model) or counters.setdefault(model, PieceCounter(model))
         for batch in slices(batches, "text"):
             sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).cast(pa.int64())

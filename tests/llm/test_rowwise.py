@@ -306,3 +306,12 @@ def test_secrets_of_odd_texts(odd, empty):
     assert len(rows) == odd.count()
     assert all(r.n_assign == r.n_access == 0 for r in rows)
     assert secrets.secret_spans(empty).count() == 0
+
+
+def test_a_worker_keeps_things_of_one_operator_at_a_time():
+    from gustline.llm.shared import worker_cache
+
+    worker_cache("a")["x"] = 1
+    assert worker_cache("a") == {"x": 1}
+    assert worker_cache("b") == {}
+    assert worker_cache("a") == {}
