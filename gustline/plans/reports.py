@@ -28,9 +28,11 @@ def _extremes(column: str) -> Report:
         "cleansed",
         f"""
         SELECT min({column}) AS min_{column}, max({column}) AS max_{column}
-        FROM cleansed_table WHERE CAST(timestamp AS DATE) BETWEEN :first_day AND :last_day
+        FROM cleansed_table
+        WHERE (:first_day IS NULL OR CAST(timestamp AS DATE) >= :first_day)
+          AND (:last_day IS NULL OR CAST(timestamp AS DATE) <= :last_day)
         """,
-        _ALWAYS,
+        {"first_day": None, "last_day": None},
     )
 
 

@@ -1,5 +1,7 @@
 """What the queries themselves do beside their operators."""
 
+import datetime as dt
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -27,3 +29,19 @@ def test_rows_of_both_ways_are_told_alike_whatever_the_order_of_addition(spark,
     names = ", ".join(frame.columns)
     expected = connection.sql(f"SELECT {names} FROM ({ORACLES['layer_by_layer']})").fetchall()
     assert expected and sorted(map(tuple, frame.collect())) == sorted(expected)
+
+
+def test_extremes_are_those_of_the_whole_table(spark, tmp_path):
+    """The smallest and largest values lie outside the two weeks in the middle of the month."""
+    days = {1: 5.0, 10: 40.0, 15: 50.0, 30: 900.0, 31: 70.0}
+    rows = [(100 + i, dt.datetime(2024, 1, day, 12), 1, value) for i, (day, value) in enumerate(days.items())]
+    rows.append((200, dt.datetime(9999, 12, 31, 23), 1, 2000.0))
+    schema = "event_id long, ts timestamp_ntz, user_id long, value double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    frame = QUERIES["sql_min_max"](spark, str(tmp_path))
+    names = ", ".join(frame.columns)
+    ours = frame.collect()
+    assert (ours[0].min_power_output, ours[0].max_power_output) == (5.0, 2000.0)
+    assert [tuple(row) for row in ours] == connection.sql(f"SELECT {names} FROM ({ORACLES['sql_min_max']})").fetchall()
